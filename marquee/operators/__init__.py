@@ -1,6 +1,7 @@
 """DataFrame operators: cleaning, joins, aggregates, ranking, concatenation, profiling."""
 
 from marquee.operators.aggregates import (avg_by_key, avg_by_packed_key, bucket_avg, bucket_expr,
+                                          score_by_label, score_from_partials, score_partials,
                                           count_by_key, era_change, explode_packed, group_stats,
                                           score_by_group, two_source_counts)
 from marquee.operators.clean import (all_of, cast_columns, drop_nulls, drop_present, first_wins,
@@ -12,7 +13,8 @@ from marquee.operators.ranking import rank_within, top_k, top_n_per_group, value
 
 __all__ = [
     "avg_by_key", "avg_by_packed_key", "bucket_avg", "bucket_expr", "count_by_key", "era_change",
-    "explode_packed", "group_stats", "score_by_group", "two_source_counts", "all_of",
+    "explode_packed", "group_stats", "score_by_group", "score_by_label", "score_from_partials",
+    "score_partials", "two_source_counts", "all_of",
     "cast_columns", "drop_nulls", "drop_present", "first_wins", "keep_matching",
     "nullify_sentinels", "rename_columns", "concat_columns", "positional_index",
     "broadcast_if_bounded", "full_outer_counts", "join_on", "table_profile", "rank_within",

@@ -27,7 +27,7 @@ from pyspark.sql.types import (DoubleType, FloatType, IntegerType, StringType, S
 
 from marquee.functions.scalar import is_year_text, to_int
 from marquee.operators import (avg_by_key, avg_by_packed_key, bucket_avg, concat_columns,
-                               drop_nulls, era_change, group_stats, score_by_group,
+                               drop_nulls, era_change, group_stats, score_by_label,
                                top_n_per_group, two_source_counts)
 from marquee.sources import (IMDB_TSV, IMDB_TSV_HEADERLESS, PIPE_CSV, RFC4180_CSV, Profile,
                              read_by_header, read_delimited, read_directory, write_delimited)
@@ -197,15 +197,14 @@ def write_combined(df: DataFrame, path: str, mode: str = "errorifexists") -> Non
 
 # ------------------------------------------------------ P4: actor influence
 
-def actor_influence_rows(movies: DataFrame, genres: DataFrame, basics: DataFrame,
-                         ratings: DataFrame, principals: DataFrame, names: DataFrame,
-                         min_rating: float = 4.0) -> DataFrame:
-    """genre, actor_name, averageRating, numVotes per (film, genre, principal).
+def actor_credits(movies: DataFrame, genres: DataFrame, basics: DataFrame, ratings: DataFrame,
+                  principals: DataFrame, min_rating: float = 4.0) -> DataFrame:
+    """genre, nconst, averageRating, numVotes per (film, genre, principal credit).
 
     Films rated > min_rating are matched to IMDb titles on name AND year,
-    then to ratings, principals (every category) and names, and finally to
-    every genre of the film: a person listed twice on a title, or a film
-    with several genres, contributes several rows.
+    then to ratings and principals (every category), and finally to every
+    genre of the film: a person listed twice on a title, or a film with
+    several genres, contributes several rows.
     """
     films = (movies.filter(F.col("rating") > min_rating)
              .select(F.col("id").alias("movie_id"), F.col("name").alias("movie_name"),
@@ -220,25 +219,25 @@ def actor_influence_rows(movies: DataFrame, genres: DataFrame, basics: DataFrame
     rated = details.join(ratings.select(F.col("tconst").alias("ratings_tconst"), "averageRating",
                                         "numVotes"),
                          F.col("basics_tconst") == F.col("ratings_tconst"), "inner")
-    credited = rated.join(principals.select(F.col("tconst").alias("principals_tconst"),
-                                            F.col("nconst").alias("principals_nconst")),
+    credited = rated.join(principals.select(F.col("tconst").alias("principals_tconst"), "nconst"),
                           F.col("ratings_tconst") == F.col("principals_tconst"), "inner")
-    named = credited.join(names.select(F.col("nconst").alias("name_nconst"), "primaryName"),
-                          F.col("principals_nconst") == F.col("name_nconst"), "inner")
-    detailed = named.select("movie_id", "averageRating", "numVotes",
-                            F.col("primaryName").alias("actor_name"))
-    return (detailed.join(film_genres, F.col("movie_id") == F.col("mg_movie_id"), "inner")
-            .select(F.col("movie_genre").alias("genre"), "actor_name", "averageRating",
-                    "numVotes"))
+    return (credited.join(film_genres, F.col("movie_id") == F.col("mg_movie_id"), "inner")
+            .select(F.col("movie_genre").alias("genre"), "nconst", "averageRating", "numVotes"))
 
 
 def actor_influence(movies: DataFrame, genres: DataFrame, basics: DataFrame, ratings: DataFrame,
                     principals: DataFrame, names: DataFrame, min_rating: float = 4.0) -> DataFrame:
     """genre, actor_name, movie_count, avg_rating, total_votes, influence_score;
-    sorted by influence_score descending."""
-    rows = actor_influence_rows(movies, genres, basics, ratings, principals, names, min_rating)
-    return (score_by_group(rows, ["genre", "actor_name"], rating="averageRating",
-                           weight="numVotes", count_name="movie_count", avg_name="avg_rating",
+    sorted by influence_score descending.
+
+    Credits are reduced per (genre, person id) before the names table is
+    joined, then combined per (genre, name): people sharing a name form one
+    group, as when grouping by the name directly.
+    """
+    credits = actor_credits(movies, genres, basics, ratings, principals, min_rating)
+    return (score_by_label(credits, "genre", "nconst", names, "nconst", "primaryName",
+                           rating="averageRating", weight="numVotes", label_name="actor_name",
+                           count_name="movie_count", avg_name="avg_rating",
                            total_name="total_votes", score_name="influence_score")
             .orderBy(F.col("influence_score").desc()))
 

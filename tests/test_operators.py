@@ -86,3 +86,15 @@ def test_concat_columns_pads_and_first_wins(spark):
 def test_table_profile(spark):
     t = {"one": spark.range(3), "two": spark.createDataFrame([(1, "a")], "a int, b string")}
     assert sorted(rows(table_profile(t))) == [("one", 3, 1, "id"), ("two", 1, 2, "a,b")]
+
+
+def test_score_by_label_equals_grouping_by_the_label(spark):
+    from marquee.operators import score_by_group, score_by_label
+    rows_ = [("g1", 1, 8.0, 10), ("g1", 1, 6.0, 5), ("g1", 2, 7.0, 1), ("g2", 3, None, 4),
+             ("g2", 1, 9.0, None), ("g1", 9, 5.0, 5)]
+    df = spark.createDataFrame(rows_, "grp string, pid int, rating double, votes int")
+    # Ids 1 and 2 share a name; id 9 has no name and drops out (inner join).
+    names = spark.createDataFrame([(1, "Ann"), (2, "Ann"), (3, "Bob")], "pid int, name string")
+    direct = score_by_group(df.join(names, "pid"), ["grp", "name"], "rating", "votes")
+    late = score_by_label(df, "grp", "pid", names, "pid", "name", "rating", "votes")
+    assert sorted(rows(late.select(*direct.columns))) == sorted(rows(direct))
