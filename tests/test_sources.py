@@ -68,3 +68,13 @@ def test_directory_ingest_excludes_named_output(spark, tmp_path):
     (tmp_path / "combined_all_data.csv").write_text("k\n2\n")
     tables = read_directory(spark, str(tmp_path), exclude=("combined_all_data",))
     assert list(tables) == ["a"]
+
+
+def test_write_then_preview_reads_the_written_output(spark):
+    from pyspark.sql import functions as F
+    from marquee.sources import write_then_preview
+    df = spark.range(100).select((F.col("id") * 3).alias("v"), (F.col("id") % 7).alias("k"))
+    path = scratch_path(spark, "preview")
+    top = write_then_preview(df, path, PLAIN_CSV, 5, order_by=[F.col("v").desc()])
+    assert [r[0] for r in top.collect()] == [297, 294, 291, 288, 285]
+    assert spark.read.options(header="true").csv(path).count() == 100

@@ -1,0 +1,23 @@
+"""Incremental reading of a folder that receives files over time."""
+
+from conftest import rows
+from marquee.plans.movies import GENRES_SCHEMA
+from marquee.session import scratch_path
+from marquee.sources import PLAIN_CSV
+from marquee.streaming import read_delimited_stream, running_counts, start_to_table
+
+def test_counts_accumulate_across_arrivals(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    (inbox / "a.csv").write_text("id,genre\n1,Drama\n2,Comedy\n")
+    stream = read_delimited_stream(spark, str(inbox), PLAIN_CSV, GENRES_SCHEMA)
+    query = start_to_table(running_counts(stream, "genre"), "genre_counts_stream",
+                           scratch_path(spark, "stream-ckpt"))
+    try:
+        query.processAllAvailable()
+        assert sorted(rows(spark.table("genre_counts_stream"))) == [("Comedy", 1), ("Drama", 1)]
+        (inbox / "b.csv").write_text("id,genre\n3,Drama\n4,Drama\n")
+        query.processAllAvailable()
+        assert sorted(rows(spark.table("genre_counts_stream"))) == [("Comedy", 1), ("Drama", 3)]
+    finally:
+        query.stop()
