@@ -41,23 +41,39 @@ def two_source_counts(left: DataFrame, right: DataFrame, key: str,
             .orderBy(F.col(key).desc()))
 
 
+def _join_cond(left: DataFrame, right: DataFrame, on: str | Sequence[tuple[str, str]]):
+    if isinstance(on, str):
+        return on
+    cond = None
+    for a, b in on:
+        c = left[a] == right[b]
+        cond = c if cond is None else cond & c
+    return cond
+
+
+def _keys_of(on: str | Sequence[tuple[str, str]], side: int) -> list[str]:
+    return [on] if isinstance(on, str) else [pair[side] for pair in on]
+
+
 def avg_by_key(parent: DataFrame, child: DataFrame, on: str | Sequence[tuple[str, str]],
                group: str, value: str, out: str = "avg_value") -> DataFrame:
     """Mean of a parent value per child group, across a 1:N parent-child join.
 
-    A parent row is counted once per matching child row (fan-out), as the
-    join produces it. NULL values are ignored; a group of only NULLs gets
-    NULL. Sorted by group ascending.
+    A parent row counts once per matching child row (fan-out), exactly as if
+    the join were materialised; NULL values are ignored and a group of only
+    NULLs gets NULL. Sorted by group ascending.
+
+    Plan: child rows are first reduced to a row count per (join key, group)
+    -- partial aggregation in each map task, so a join key holding a large
+    share of the rows arrives as a handful of rows -- and the mean is the
+    count-weighted mean over the joined parents.
     """
-    if isinstance(on, str):
-        joined = parent.join(child, on, "inner")
-    else:
-        cond = None
-        for a, b in on:
-            c = parent[a] == child[b]
-            cond = c if cond is None else cond & c
-        joined = parent.join(child, cond, "inner")
-    return joined.groupBy(group).agg(F.avg(value).alias(out)).orderBy(group)
+    child_keys = _keys_of(on, 1)
+    weights = child.groupBy(*child_keys, group).agg(F.count(F.lit(1)).alias("_w"))
+    joined = parent.join(weights, _join_cond(parent, weights, on), "inner")
+    v, w = F.col(value), F.col("_w")
+    mean = F.try_divide(F.sum(v * w), F.sum(F.when(v.isNotNull(), w)))
+    return joined.groupBy(group).agg(mean.alias(out)).orderBy(group)
 
 
 def explode_packed(df: DataFrame, packed: str, sep: str, as_name: str) -> DataFrame:
@@ -65,18 +81,26 @@ def explode_packed(df: DataFrame, packed: str, sep: str, as_name: str) -> DataFr
     return df.withColumn(as_name, F.explode(split_packed(packed, sep)))
 
 
-def avg_by_packed_key(left: DataFrame, right: DataFrame, on: str, packed: str, value: str,
-                      sep: str = ",", exclude: Iterable[str] = (), group: str = "genre",
-                      out: str = "avg_value") -> DataFrame:
-    """Mean of ``value`` per element of a packed multi-value column.
+def avg_by_packed_key(left: DataFrame, right: DataFrame, on: str | Sequence[tuple[str, str]],
+                      packed: str, value: str, sep: str = ",", exclude: Iterable[str] = (),
+                      group: str = "genre", out: str = "avg_value") -> DataFrame:
+    """Mean of ``value`` (from ``right``) per element of ``left``'s packed column.
+
+    Same result as: join on ``on``, split ``packed`` on the literal ``sep``,
+    one row per element, mean per element, then drop NULL and excluded
+    elements. Sorted by element.
 
-    Join on ``on``, split ``packed`` on the literal ``sep``, one row per
-    element, mean per element, then drop NULL and excluded elements (a filter
-    on the group key, which Catalyst evaluates below the aggregate). Sorted by
-    element.
+    Plan: ``right`` (the large, fact-like side) is first reduced to (sum,
+    count) per join key with partial aggregation in each map task, so the
+    join and the explode see one row per key instead of one per fact row, and
+    a hot key cannot make one join task large. Excluded elements are
+    filtered on the group key, which Catalyst applies below the aggregate.
     """
-    exploded = explode_packed(left.join(right, on, "inner"), packed, sep, group).select(group, value)
-    means = exploded.groupBy(group).agg(F.avg(value).alias(out))
+    right_keys = _keys_of(on, 1)
+    sums = right.groupBy(*right_keys).agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
+    joined = left.join(sums, _join_cond(left, sums, on), "inner")
+    exploded = explode_packed(joined, packed, sep, group).select(group, "_s", "_n")
+    means = exploded.groupBy(group).agg(F.try_divide(F.sum("_s"), F.sum("_n")).alias(out))
     excluded = list(exclude)
     keep = F.col(group).isNotNull()
     if excluded:
