@@ -98,3 +98,44 @@ def test_score_by_label_equals_grouping_by_the_label(spark):
     direct = score_by_group(df.join(names, "pid"), ["grp", "name"], "rating", "votes")
     late = score_by_label(df, "grp", "pid", names, "pid", "name", "rating", "votes")
     assert sorted(rows(late.select(*direct.columns))) == sorted(rows(direct))
+
+
+def _hot_key_tables(spark):
+    rnd = random.Random(7)
+    parents = [(k, None if k % 11 == 3 else float(k * 10)) for k in range(50)]
+    # Key 5 holds about two thirds of the child rows.
+    children = [(5 if rnd.random() < 0.66 else rnd.randrange(60), rnd.choice("ABC"),
+                 rnd.choice([None, 1.5, 2.5, 4.0])) for _ in range(3000)]
+    p = spark.createDataFrame(parents, "k int, price double")
+    c = spark.createDataFrame(children, "ck int, flag string, amount double")
+    return p, c
+
+
+def test_avg_by_key_with_a_hot_key_equals_direct_mean(spark):
+    from marquee.operators import avg_by_key
+    p, c = _hot_key_tables(spark)
+    got = rows(avg_by_key(p, c, [("k", "ck")], "flag", "price", "m"))
+    direct = rows(p.join(c, p["k"] == c["ck"]).groupBy("flag").agg(F.avg("price").alias("m"))
+                  .orderBy("flag"))
+    assert [g for g, _ in got] == [g for g, _ in direct]
+    assert [m for _, m in got] == [pytest.approx(m) for _, m in direct]
+
+
+def test_avg_by_packed_key_with_a_hot_key_equals_direct_mean(spark):
+    from marquee.operators import avg_by_packed_key
+    p, c = _hot_key_tables(spark)
+    names = p.select(F.col("k").alias("key"),
+                     F.concat_ws(",", F.lit("x"), (F.col("k") % 3).cast("string")).alias("tags"))
+    facts = c.select(F.col("ck").alias("key"), "amount")
+    got = rows(avg_by_packed_key(names, facts, "key", "tags", "amount", exclude=["1"], group="t"))
+    exploded = names.join(facts, "key").select(F.explode(F.split("tags", ",")).alias("t"), "amount")
+    direct = rows(exploded.groupBy("t").agg(F.avg("amount")).filter("t <> '1'").orderBy("t"))
+    assert [t for t, _ in got] == [t for t, _ in direct]
+    assert [m for _, m in got] == [pytest.approx(m) for _, m in direct]
+
+
+def test_counts_add_up_to_the_input_rows(spark):
+    from marquee.operators import count_by_key
+    _, c = _hot_key_tables(spark)
+    counts = count_by_key(c, "flag", "n")
+    assert counts.agg(F.sum("n")).first()[0] == c.count()
