@@ -1,6 +1,7 @@
 """Structured Streaming entry points: delimited folders read incrementally."""
 
 from marquee.streaming.files import (read_delimited_stream, running_counts, running_means,
-                                     start_to_table)
+                                     start_to_parquet, start_to_table)
 
-__all__ = ["read_delimited_stream", "running_counts", "running_means", "start_to_table"]
+__all__ = ["read_delimited_stream", "running_counts", "running_means", "start_to_parquet",
+           "start_to_table"]

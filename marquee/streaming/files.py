@@ -36,9 +36,30 @@ def running_means(stream: DataFrame, key: str, value: str, out: str = "avg_value
     return stream.groupBy(key).agg(F.avg(value).alias(out))
 
 
+def start_to_parquet(df: DataFrame, path: str, checkpoint_location: str,
+                     trigger_once: bool = False) -> StreamingQuery:
+    """Keep a Parquet table at ``path`` equal to the running aggregate's result.
+
+    Each micro-batch rewrites the complete (per-key, so compact) result with
+    a distributed write; nothing passes through the driver.
+    """
+    def replace_result(batch: DataFrame, _batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    writer = (df.writeStream.outputMode("complete").foreachBatch(replace_result)
+              .option("checkpointLocation", checkpoint_location))
+    if trigger_once:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
 def start_to_table(df: DataFrame, table: str, checkpoint_location: str,
                    output_mode: str = "complete", trigger_once: bool = False) -> StreamingQuery:
-    """Keep a session-visible table (memory sink) updated with ``df``'s result."""
+    """Keep a session-visible table (memory sink) updated with ``df``'s result.
+
+    The memory sink keeps the result in driver memory: for small per-key
+    results and tests; use ``start_to_parquet`` for anything that grows.
+    """
     writer = (df.writeStream.format("memory").queryName(table).outputMode(output_mode)
               .option("checkpointLocation", checkpoint_location))
     if trigger_once:

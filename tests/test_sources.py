@@ -78,3 +78,10 @@ def test_write_then_preview_reads_the_written_output(spark):
     top = write_then_preview(df, path, PLAIN_CSV, 5, order_by=[F.col("v").desc()])
     assert [r[0] for r in top.collect()] == [297, 294, 291, 288, 285]
     assert spark.read.options(header="true").csv(path).count() == 100
+
+
+def test_scratch_paths_live_under_the_session_checkpoint_folder(spark):
+    base = spark.sparkContext.getCheckpointDir()
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b
+    assert a.startswith(base.rstrip("/")) or a.startswith(base.split(":", 1)[-1].rstrip("/"))

@@ -21,3 +21,19 @@ def test_counts_accumulate_across_arrivals(spark, tmp_path):
         assert sorted(rows(spark.table("genre_counts_stream"))) == [("Comedy", 1), ("Drama", 3)]
     finally:
         query.stop()
+
+
+def test_running_means_to_parquet(spark, tmp_path):
+    from marquee.plans.movies import MOVIES_SCHEMA
+    from marquee.sources import RFC4180_CSV
+    from marquee.streaming import running_means, start_to_parquet
+    inbox = tmp_path / "films"
+    inbox.mkdir()
+    (inbox / "a.csv").write_text('id,name,date,tagline,description,minute,rating\n'
+                                 '1,A,1999,t,"x, y",100,4.0\n2,B,1999,t,d,90,3.0\n3,C,2001,t,d,80,\n')
+    out = scratch_path(spark, "stream-out")
+    query = start_to_parquet(running_means(read_delimited_stream(spark, str(inbox), RFC4180_CSV,
+                                                                 MOVIES_SCHEMA), "date", "rating"),
+                             out, scratch_path(spark, "stream-ckpt"), trigger_once=True)
+    query.awaitTermination(120)
+    assert sorted(rows(spark.read.parquet(out))) == [("1999", 3.5), ("2001", None)]
