@@ -53,7 +53,7 @@ PRINCIPALS_SCHEMA = _schema(("tconst", S), ("ordering", I), ("nconst", S), ("cat
                             ("job", S), ("characters", S))
 NAMES_SCHEMA = _schema(("nconst", S), ("primaryName", S), ("birthYear", I), ("deathYear", I),
                        ("primaryProfession", S), ("knownForTitles", S))
-# The combined table is bound by position, as its producer wrote it.
+# The combined table's declared types (bound by header name when read).
 COMBINED_SCHEMA = _schema(("id", S), ("country", S), ("title", S), ("year", FloatType()),
                           ("rating", FloatType()), ("name", S), ("role", S), ("theme", S),
                           ("genre", S), ("date", S), ("type", S), ("studio", S),
@@ -87,7 +87,12 @@ def load_imdb(spark: SparkSession, directory: str, header: bool = True) -> dict[
             for key, (fname, schema) in IMDB_FILES.items()}
 
 
-def load_combined(spark: SparkSession, path: str) -> DataFrame:
+def load_combined(spark: SparkSession, path: str, by_header: bool = True) -> DataFrame:
+    """The combined table, typed by header name (its column order depends on
+    which files the prep step found). ``by_header=False`` binds the declared
+    schema by position instead, for files known to follow it exactly."""
+    if by_header:
+        return read_by_header(spark, path, RFC4180_CSV, COMBINED_SCHEMA)
     return read_delimited(spark, path, RFC4180_CSV, schema=COMBINED_SCHEMA)
 
 

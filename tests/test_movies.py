@@ -168,3 +168,19 @@ def test_combine_directory_output_round_trips(spark, tmp_path):
     mv.write_combined(out, target)
     back = spark.read.options(header="true", multiLine="true", escape='"').csv(target)
     assert back.count() == 4 and back.columns == out.columns
+
+
+def test_combined_table_is_typed_by_header_name(spark, tmp_path):
+    src = open(os.path.join(FIXTURES, "combined_all_data.csv")).read().splitlines()
+    header = src[0].split(",")
+    # Same rows with the first two columns swapped: types must follow the names.
+    swapped = ",".join([header[1], header[0]] + header[2:])
+    body = []
+    for line in src[1:]:
+        first, second, rest = line.split(",", 2)
+        body.append(",".join([second, first, rest]))
+    path = tmp_path / "swapped.csv"
+    path.write_text("\n".join([swapped] + body) + "\n")
+    df = mv.clean_combined(mv.load_combined(spark, str(path)))
+    assert dict(df.dtypes)["year"] == "int" and dict(df.dtypes)["rating"] == "float"
+    assert rows(mv.trend_reports(df)["decade_avg_ratings"])[2] == (1990, 4.5)
