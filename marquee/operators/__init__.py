@@ -7,7 +7,7 @@ from marquee.operators.aggregates import (avg_by_key, avg_by_packed_key, bucket_
 from marquee.operators.clean import (all_of, cast_columns, drop_nulls, drop_present, first_wins,
                                      keep_matching, nullify_sentinels, rename_columns)
 from marquee.operators.concat import concat_columns, positional_index
-from marquee.operators.joins import broadcast_if_bounded, full_outer_counts, join_on
+from marquee.operators.joins import full_outer_counts, join_on
 from marquee.operators.profile import table_profile
 from marquee.operators.ranking import rank_within, top_k, top_n_per_group, value_ranks
 
@@ -17,6 +17,6 @@ __all__ = [
     "score_partials", "two_source_counts", "all_of",
     "cast_columns", "drop_nulls", "drop_present", "first_wins", "keep_matching",
     "nullify_sentinels", "rename_columns", "concat_columns", "positional_index",
-    "broadcast_if_bounded", "full_outer_counts", "join_on", "table_profile", "rank_within",
+    "full_outer_counts", "join_on", "table_profile", "rank_within",
     "top_k", "top_n_per_group", "value_ranks",
 ]

@@ -3,8 +3,8 @@
 Physical strategy is Spark's: a side whose estimated (static stats) or
 measured (AQE, after its shuffle stage) size is under the broadcast threshold
 is broadcast, anything larger goes through a sort-merge join, and AQE splits
-skewed partitions of inner joins. ``broadcast_if_bounded`` adds an explicit
-check for the few places where a side's size is provably bounded.
+skewed partitions of inner joins. Explicit broadcasts appear only where a
+side is bounded by construction (see ``ranking`` and ``concat``).
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from __future__ import annotations
 from typing import Iterable, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from marquee.operators.clean import all_of
 
@@ -37,12 +36,3 @@ def full_outer_counts(left: DataFrame, right: DataFrame, key: str,
     """
     return left.join(right, key, "full_outer").fillna(fill, subset=list(fill_columns))
 
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` when it has at most ``max_rows`` rows, else leave it as is.
-
-    The check reads at most ``max_rows + 1`` rows per partition, so it is cheap
-    for dimension-sized inputs; use it only where the side is expected small.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
