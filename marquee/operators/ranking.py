@@ -3,24 +3,28 @@
 ``top_n_per_group`` keeps rows whose ``rank()`` within their group is <= n
 (ties share a rank, gaps follow, so a group can return more than n rows).
 
-Default strategy ("join") never sorts a whole group in one task:
-
-1. rows per (group, value) -- partial aggregation, so a hot group is
-   collapsed map-side;
-2. only a group's n best distinct values can hold a rank <= n (each value
-   holds >= 1 row), so a row_number limit (planned as a partial
-   ``WindowGroupLimit`` before the shuffle) keeps at most n per group;
-3. rank of a value = 1 + rows holding a strictly better value (running sum);
-4. the resulting (group, value, rank) table -- at most n rows per group -- is
-   written to the checkpoint folder, and joined back to the rows on
-   (group, value). It is broadcast when its row count is within
-   ``broadcast_rows``; otherwise a shuffle join is used, where AQE splits a
+Default strategy ("join") never sorts a whole group in one task, however
+many rows tie:
+
+1. the n best *rows* of each group (``row_number() <= n``, ties broken
+   arbitrarily) -- Spark plans this as a partial ``WindowGroupLimit`` in
+   every map task, so at most n rows per group per task are shuffled, even
+   when a third of all rows share a group's top value;
+2. a row qualifies for rank <= n exactly when its value is at least the
+   n-th best row value of its group, and every row that beats such a value
+   is among those n rows; so ``rank()`` computed over the n best rows is the
+   true rank of each value that appears there;
+3. that (group, value, rank) table -- at most n rows per group -- is
+   written to the checkpoint folder and joined back to the rows on
+   (group, value): broadcast when its row count is within
+   ``broadcast_rows``, otherwise a shuffle join, where AQE splits a
    (group, value) key that holds a large share of the rows.
 
 Strategy "window" is the textbook plan: ``rank().over(partitionBy(group))``
-then a filter, which Spark runs with a partial ``WindowGroupLimit``. It is
-cheaper when ties are few, but a group whose top value is shared by a huge
-number of rows ends up sorted in a single task.
+then a filter, which Spark runs with a partial ``WindowGroupLimit``. It
+reads the data once instead of twice, but the limit keeps all tied rows, so
+a group whose top value is shared by a huge number of rows is sorted in a
+single task.
 """
 
 from __future__ import annotations
@@ -52,12 +56,13 @@ def value_ranks(df: DataFrame, group: str, value: str, n: int, descending: bool
                 rank_col: str = "rank") -> DataFrame:
     """(group, value, rank) for every distinct value whose rank is <= n."""
     w = Window.partitionBy(group).orderBy(_ordering(value, descending))
-    counts = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("_rows"))
-    best = counts.withColumn("_pos", F.row_number().over(w)).filter(F.col("_pos") <= n)
-    running = F.sum("_rows").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (best.withColumn(rank_col, (running - F.col("_rows") + 1).cast("int"))
-            .filter(F.col(rank_col) <= n)
-            .select(group, value, rank_col))
+    best_rows = (df.select(group, value)
+                 .withColumn("_pos", F.row_number().over(w))
+                 .filter(F.col("_pos") <= n))
+    # Already clustered by group: the rank window and the distinct need no
+    # further shuffle.
+    return (best_rows.withColumn(rank_col, F.rank().over(w))
+            .select(group, value, rank_col).distinct())
 
 
 def top_n_per_group(df: DataFrame, group: str, value: str, n: int, descending: bool = True,
