@@ -6,7 +6,8 @@ Position is defined by an explicit sort order per input (file order is not a
 stable notion once a file is split across tasks).
 
 Positions are computed without moving rows through Python or into one task:
-the input is range-partitioned and sorted by its order keys, each row is
+the input is range-partitioned and sorted by its order keys (its own row id
+breaks ties, so even a key shared by many rows is split), each row is
 tagged with its partition and its place inside the partition
 (``monotonically_increasing_id`` keeps the partition id in the upper 31 bits
 and the record number in the lower 33), the tagged table is checkpointed so
@@ -34,7 +35,11 @@ def positional_index(df: DataFrame, order_by: Sequence[str | Column],
                      index_col: str = POSITION) -> DataFrame:
     """``df`` plus a 0-based, gap-free ``index_col`` following ``order_by``."""
     checkpoint_dir(df.sparkSession)
-    tagged = (df.orderBy(*order_by)
+    # The input's own row id breaks ties last: the sort key becomes unique, so
+    # the range partitioner can split a key shared by many rows (copies), and
+    # tied rows keep their input order.
+    tagged = (df.withColumn("_in", F.monotonically_increasing_id())
+              .orderBy(*order_by, "_in")
               .select("*", F.spark_partition_id().alias("_part"),
                       F.monotonically_increasing_id().alias("_mid"))
               .checkpoint(eager=True))

@@ -139,3 +139,19 @@ def test_counts_add_up_to_the_input_rows(spark):
     _, c = _hot_key_tables(spark)
     counts = count_by_key(c, "flag", "n")
     assert counts.agg(F.sum("n")).first()[0] == c.count()
+
+
+def test_positional_index_splits_a_key_shared_by_many_rows(spark):
+    # 3,000 identical keys among 3,100 rows: the sort must still spread them.
+    df = spark.createDataFrame([(1, i) for i in range(3000)] + [(2, i) for i in range(100)],
+                               "k int, payload int").repartition(8)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")  # keep the sort's partitions as planned
+    try:
+        out = positional_index(df, ["k"], "pos")
+        parts = rows(out.groupBy(F.spark_partition_id().alias("p")).count())
+    finally:
+        spark.conf.set(key, before)
+    assert sorted(p for (p,) in rows(out.select("pos"))) == list(range(3100))
+    assert max(c for _, c in parts) < 3000
