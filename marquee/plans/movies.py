@@ -26,7 +26,7 @@ from pyspark.sql.types import (DoubleType, FloatType, IntegerType, StringType, S
                                StructType)
 
 from marquee.functions.scalar import is_year_text, to_int
-from marquee.operators import (avg_by_key, avg_by_packed_key, bucket_avg, concat_columns,
+from marquee.operators import (all_of, avg_by_key, avg_by_packed_key, bucket_avg, concat_columns,
                                drop_nulls, era_change, group_stats, score_by_label,
                                top_n_per_group, two_source_counts)
 from marquee.sources import (IMDB_TSV, IMDB_TSV_HEADERLESS, PIPE_CSV, RFC4180_CSV, Profile,
@@ -39,8 +39,10 @@ def _schema(*fields: tuple[str, object]) -> StructType:
 
 S, I, D = StringType(), IntegerType(), DoubleType()
 
-# Declared input layouts. ``date`` stays text: it is checked against the
-# four-digit year rule before it is turned into a number.
+# The column names and order of the input files (as the
+# files define them); the types are the ones we declare. ``date`` stays
+# text: it is checked against the four-digit year rule before it becomes a
+# number.
 MOVIES_SCHEMA = _schema(("id", I), ("name", S), ("date", S), ("tagline", S),
                         ("description", S), ("minute", I), ("rating", D))
 GENRES_SCHEMA = _schema(("id", I), ("genre", S))
@@ -105,25 +107,23 @@ def to_parquet(tables: Mapping[str, DataFrame], directory: str, mode: str = "err
 # ------------------------------------------------------- P1: films per year
 
 def letterboxd_high_rated(movies: DataFrame, min_rating: float = 4) -> DataFrame:
-    """id, name, rating, year(int) of films rated >= min_rating with a 4-digit year."""
-    df = drop_nulls(movies.select("id", "name", "rating", "date"), ["id", "rating", "name", "date"])
-    df = df.withColumnRenamed("date", "year").filter(is_year_text("year"))
-    # try-cast: the regex already guarantees four digits, but no optimizer
-    # reordering can then turn a bad value into an ANSI cast failure.
-    return (df.withColumn("year", to_int("year"))
-            .filter(F.col("rating") >= min_rating))
+    """``year`` (int) of every complete film rated >= min_rating whose date is a
+    four-digit year."""
+    complete = all_of(F.col(c).isNotNull() for c in ("id", "name", "rating", "date"))
+    wanted = complete & is_year_text("date") & (F.col("rating") >= min_rating)
+    return movies.where(wanted).select(to_int("date").alias("year"))
 
 
 def imdb_high_rated(basics: DataFrame, ratings: DataFrame, min_rating: float = 8,
                     min_votes: int = 2100) -> DataFrame:
-    """id, name, year of movies rated >= min_rating with >= min_votes votes."""
-    films = (basics.filter("titleType == 'movie'")
-             .selectExpr("tconst as id", "primaryTitle as name", "startYear as year")
-             .filter("id is not null AND name is not null AND year is not null"))
-    good = (ratings.selectExpr("tconst as id", "averageRating as rating", "numVotes")
-            .filter("rating is not null AND numVotes is not null")
-            .filter((F.col("rating") >= min_rating) & (F.col("numVotes") >= min_votes)))
-    return films.join(good, "id", "inner")
+    """``tconst, year`` of titled movies with a year, rated >= min_rating by at
+    least min_votes voters."""
+    movies_only = all_of([F.col("titleType") == "movie", F.col("tconst").isNotNull(),
+                          F.col("primaryTitle").isNotNull(), F.col("startYear").isNotNull()])
+    films = basics.where(movies_only).select("tconst", F.col("startYear").alias("year"))
+    liked = ratings.where((F.col("averageRating") >= min_rating)
+                          & (F.col("numVotes") >= min_votes)).select("tconst")
+    return films.join(liked, "tconst", "inner")
 
 
 def high_rated_by_year(movies: DataFrame, basics: DataFrame, ratings: DataFrame,
@@ -138,8 +138,8 @@ def high_rated_by_year(movies: DataFrame, basics: DataFrame, ratings: DataFrame,
 
 def avg_rating_by_genre(movies: DataFrame, genres: DataFrame, min_minutes: int = 60) -> DataFrame:
     """genre, avg_rating over films of >= min_minutes (child genre table)."""
-    films = movies.select("id", "minute", "rating").filter(F.col("minute") >= min_minutes)
-    return avg_by_key(films, genres, "id", "genre", "rating", "avg_rating")
+    long_films = movies.where(F.col("minute") >= min_minutes).select("id", "rating")
+    return avg_by_key(long_films, genres, "id", "genre", "rating", "avg_rating")
 
 
 # Fixed value: the genre left out of the packed-genre report.
@@ -158,9 +158,8 @@ def avg_rating_by_packed_genre(basics: DataFrame, ratings: DataFrame,
 # ------------------------------------------------------ P3: trend reports
 
 def clean_combined(df: DataFrame) -> DataFrame:
-    """Year to int (truncating the float), drop rows without rating or year."""
-    return (df.withColumn("year", F.col("year").cast(IntegerType()))
-            .filter(F.col("rating").isNotNull() & F.col("year").isNotNull()))
+    """Year truncated to a whole number; rows lacking a rating or a year dropped."""
+    return drop_nulls(df.withColumn("year", F.col("year").cast("int")), ["year", "rating"])
 
 
 def trend_reports(df: DataFrame, top_n: int = 5) -> dict[str, DataFrame]:
