@@ -162,6 +162,11 @@ def clean_combined(df: DataFrame) -> DataFrame:
     return drop_nulls(df.withColumn("year", F.col("year").cast("int")), ["year", "rating"])
 
 
+# The trend pack's report names and output column names
+# (yearly_genre_ratings: year, genre, avg_rating, movie_count;
+# top_movies_per_year: year, title, genre, rating, rank;
+# decade_avg_ratings: decade, avg_rating_decade;
+# genre_trends: genre, avg_pre_2000, avg_post_2000, rating_change).
 def trend_reports(df: DataFrame, top_n: int = 5) -> dict[str, DataFrame]:
     """The four trend reports over a cleaned combined table (lazy DataFrames)."""
     top = (top_n_per_group(df, "year", "rating", top_n)
@@ -233,8 +238,8 @@ def actor_credits(movies: DataFrame, genres: DataFrame, basics: DataFrame, ratin
 
 def actor_influence(movies: DataFrame, genres: DataFrame, basics: DataFrame, ratings: DataFrame,
                     principals: DataFrame, names: DataFrame, min_rating: float = 4.0) -> DataFrame:
-    """genre, actor_name, movie_count, avg_rating, total_votes, influence_score;
-    sorted by influence_score descending.
+    """genre, actor_name, movie_count, avg_rating, total_votes, influence_score
+    (fixed output names); sorted by influence_score descending.
 
     Credits are reduced per (genre, person id) before the names table is
     joined, then combined per (genre, name): people sharing a name form one
