@@ -184,3 +184,36 @@ def test_combined_table_is_typed_by_header_name(spark, tmp_path):
     df = mv.clean_combined(mv.load_combined(spark, str(path)))
     assert dict(df.dtypes)["year"] == "int" and dict(df.dtypes)["rating"] == "float"
     assert rows(mv.trend_reports(df)["decade_avg_ratings"])[2] == (1990, 4.5)
+
+
+def test_save_influence_writes_pipe_files_and_replaces_them(spark, lb, imdb, tmp_path):
+    from marquee.sources import PIPE_CSV, read_delimited
+    out = mv.actor_influence(lb["movies"], lb["genres"], imdb["basics"], imdb["ratings"],
+                             imdb["principals"], imdb["names"])
+    target = str(tmp_path / "influence")
+    mv.save_influence(out, target)
+    mv.save_influence(out, target)  # overwrite mode: a second run replaces the first
+    text = "".join(open(os.path.join(target, f)).read() for f in sorted(os.listdir(target))
+                   if f.endswith(".csv"))
+    assert text.startswith("genre|actor_name|movie_count|") and "|" in text
+    back = read_delimited(spark, target, PIPE_CSV, schema=out.schema)
+    assert sorted(rows(back)) == sorted(rows(out))
+
+
+def test_to_parquet_then_report_from_parquet(spark, lb, tmp_path):
+    target = str(tmp_path / "pq")
+    mv.to_parquet({"movies": lb["movies"], "genres": lb["genres"]}, target)
+    movies = spark.read.parquet(f"{target}/movies.parquet")
+    genres = spark.read.parquet(f"{target}/genres.parquet")
+    assert rows(mv.avg_rating_by_genre(movies, genres)) == _approx_rows(EXPECTED_P2A)
+
+
+def test_register_inputs_exposes_views(spark, lb):
+    mvs.register_inputs(spark, {"lb_movies_view": lb["movies"]})
+    assert spark.sql("SELECT COUNT(*) FROM lb_movies_view").first()[0] == 14
+
+
+def test_preview_is_a_limit(spark, lb, imdb):
+    from marquee.sources import preview
+    out = mv.high_rated_by_year(lb["movies"], imdb["basics"], imdb["ratings"], last=None)
+    assert rows(preview(out, 3)) == EXPECTED_P1[:3]
