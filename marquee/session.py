@@ -27,7 +27,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     is unset, a local-mode session gets its own folder; a cluster session is
     refused, since a machine-local folder is invisible to other executors.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the client has no SparkContext
+        current = spark.conf.get(_CHECKPOINT_KEY, None)
+        if not current:
+            raise RuntimeError("spark.checkpoint.dir is not set on this session") from None
+        return current
     current = sc.getCheckpointDir() or spark.conf.get(_CHECKPOINT_KEY, None) \
         or sc.getConf().get(_CHECKPOINT_KEY, None)
     if current:
