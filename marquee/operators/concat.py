@@ -19,6 +19,7 @@ position, a 1:1 key without skew.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import Sequence
 
@@ -59,8 +60,11 @@ def concat_columns(dfs: Sequence[DataFrame], order_by: Sequence[Sequence[str | C
     if len(order_by) != len(dfs):
         raise ValueError("one sort order per input is required")
     kept = first_wins(d.columns for d in dfs)
-    indexed = [positional_index(d, keys).select(POSITION, *cols)
-               for d, keys, cols in zip(dfs, order_by, kept)]
+    # Each input's sort + checkpoint is an independent job: submit them from a
+    # few driver threads so Spark can run them side by side.
+    with ThreadPoolExecutor(max_workers=min(8, len(dfs))) as pool:
+        indexed = list(pool.map(lambda args: positional_index(args[0], args[1])
+                                .select(POSITION, *args[2]), zip(dfs, order_by, kept)))
     combined = reduce(lambda a, b: a.join(b, POSITION, "full_outer"), indexed)
     out_cols = [c for cols in kept for c in cols]
     return combined.orderBy(POSITION).select(*out_cols)

@@ -9,6 +9,7 @@ Spark (``movies.csv/part-*.csv``); both load as one table named by the entry.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from typing import Mapping
 from urllib.parse import urlparse
 
@@ -69,15 +70,21 @@ def read_directory(spark: SparkSession, directory: str, profile: Profile = PLAIN
     entries = [e for e in list_entries(spark, directory) if e[0] not in exclude]
     if not entries:
         raise ValueError(f"no CSV files found in {directory}")
-    tables: dict[str, DataFrame] = {}
-    for name, path in entries:
+
+    def load(entry: tuple[str, str]) -> DataFrame | None:
+        name, path = entry
         try:
             df = read_delimited(spark, path, profile, infer=infer)
         except Exception:  # unreadable file: skip it, keep the others
-            continue
+            return None
         drops = [c for c in drop_columns.get(name, ()) if c in df.columns]
-        tables[name] = df.drop(*drops) if drops else df
+        return df.drop(*drops) if drops else df
+
+    # Schema inference runs small jobs per file; submitting them from a few
+    # driver threads lets Spark run them side by side. Order stays by name.
+    with ThreadPoolExecutor(max_workers=min(8, len(entries))) as pool:
+        loaded = list(pool.map(load, entries))
+    tables = {name: df for (name, _), df in zip(entries, loaded) if df is not None}
     if not tables:
         raise ValueError(f"none of the CSV files in {directory} could be loaded")
     return tables
-
