@@ -155,3 +155,12 @@ def test_positional_index_splits_a_key_shared_by_many_rows(spark):
         spark.conf.set(key, before)
     assert sorted(p for (p,) in rows(out.select("pos"))) == list(range(3100))
     assert max(c for _, c in parts) < 3000
+
+
+def test_avg_by_key_keeps_double_precision_for_float_values(spark):
+    from marquee.operators import avg_by_key
+    parent = spark.createDataFrame([(1, 4.1), (2, 3.3)], "k int, v float")
+    child = spark.createDataFrame([(1, "a")] * 7 + [(2, "a")] * 3, "k int, g string")
+    got = rows(avg_by_key(parent, child, "k", "g", "v", "m"))
+    direct = rows(parent.join(child, "k").groupBy("g").agg(F.avg("v").alias("m")))
+    assert got[0][1] == pytest.approx(direct[0][1], rel=1e-15)
