@@ -4,6 +4,9 @@ Every aggregate here (count, sum, avg, conditional avg) is algebraic, so Spark
 runs it as partial aggregation before the shuffle and final aggregation after
 it: a hot group key is collapsed to one row per map task before it is sent
 anywhere, and the shuffle carries at most (#groups x #map tasks) rows.
+Reports that join a fact table first reduce it the same way before the join
+(``avg_by_key``, ``avg_by_packed_key``, ``score_by_label``), so a join key
+holding a large share of the rows reaches the join as a few rows.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.scalar import split_packed
+from marquee.operators.clean import all_of
 from marquee.operators.joins import full_outer_counts
 
 
@@ -42,13 +46,8 @@ def two_source_counts(left: DataFrame, right: DataFrame, key: str,
 
 
 def _join_cond(left: DataFrame, right: DataFrame, on: str | Sequence[tuple[str, str]]):
-    if isinstance(on, str):
-        return on
-    cond = None
-    for a, b in on:
-        c = left[a] == right[b]
-        cond = c if cond is None else cond & c
-    return cond
+    """A same-named key as is (USING join), or the conjunction of key pairs."""
+    return on if isinstance(on, str) else all_of(left[a] == right[b] for a, b in on)
 
 
 def _keys_of(on: str | Sequence[tuple[str, str]], side: int) -> list[str]:
