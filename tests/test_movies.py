@@ -217,3 +217,12 @@ def test_preview_is_a_limit(spark, lb, imdb):
     from marquee.sources import preview
     out = mv.high_rated_by_year(lb["movies"], imdb["basics"], imdb["ratings"], last=None)
     assert rows(preview(out, 3)) == EXPECTED_P1[:3]
+
+
+def test_headed_files_read_as_headerless_do_not_fail_or_change_the_report(spark):
+    # Each header line becomes a data row: its numbers are NULL under the
+    # declared types (no ANSI cast failure) and it drops out of the report.
+    imdb = mv.load_imdb(spark, os.path.join(FIXTURES, "imdb"), header=False)
+    assert imdb["basics"].count() == 12
+    assert rows(mv.avg_rating_by_packed_genre(imdb["basics"], imdb["ratings"])) == \
+        _approx_rows(EXPECTED_P2B)
