@@ -158,8 +158,12 @@ def avg_rating_by_packed_genre(basics: DataFrame, ratings: DataFrame,
 # ------------------------------------------------------ P3: trend reports
 
 def clean_combined(df: DataFrame) -> DataFrame:
-    """Year truncated to a whole number; rows lacking a rating or a year dropped."""
-    return drop_nulls(df.withColumn("year", F.col("year").cast("int")), ["year", "rating"])
+    """Year truncated to a whole number; rows lacking a rating or a year dropped.
+
+    A year that is not a finite number in int range becomes NULL (try-cast)
+    and is dropped with the rest, instead of failing the job under ANSI.
+    """
+    return drop_nulls(df.withColumn("year", F.col("year").try_cast("int")), ["year", "rating"])
 
 
 # The trend pack's report names and output column names

@@ -226,3 +226,9 @@ def test_headed_files_read_as_headerless_do_not_fail_or_change_the_report(spark)
     assert imdb["basics"].count() == 12
     assert rows(mv.avg_rating_by_packed_genre(imdb["basics"], imdb["ratings"])) == \
         _approx_rows(EXPECTED_P2B)
+
+
+def test_clean_combined_drops_non_finite_years(spark):
+    df = spark.createDataFrame([(1999.7, 4.0), (float("nan"), 3.0), (1e20, 2.0), (None, 1.0)],
+                               "year float, rating float")
+    assert rows(mv.clean_combined(df)) == [(1999, 4.0)]
