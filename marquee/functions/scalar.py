@@ -37,12 +37,12 @@ def is_year_text(c: str | Column) -> Column:
 
 def decade_floor(c: str | Column) -> Column:
     """Start year of the decade, flooring (-5 -> -10), as int."""
-    return (F.floor(_col(c) / 10) * 10).cast("int")
+    return F.try_multiply(F.floor(_col(c) / 10), F.lit(10).cast("long")).try_cast("int")
 
 
 def decade_trunc(c: str | Column) -> Column:
     """Start year of the decade, truncating toward zero (-5 -> 0), as int."""
-    return (_col(c) / 10).cast("int") * 10
+    return F.try_multiply((_col(c) / 10).try_cast("long"), F.lit(10).cast("long")).try_cast("int")
 
 
 def round_half_up(c: str | Column, digits: int, guard: int = 6) -> Column:

@@ -125,10 +125,12 @@ def group_stats(df: DataFrame, keys: Sequence[str], value: str,
 def bucket_expr(column: str, width: int = 10, mode: str = "floor") -> Column:
     """Bucket start: ``floor`` rounds down (-5 -> -10), ``trunc`` toward zero (-5 -> 0)."""
     c = F.col(column)
+    # try-casts: a value beyond int range gets a NULL bucket, not a failed job.
+    w = F.lit(width).cast("long")
     if mode == "floor":
-        return (F.floor(c / width) * width).cast("int")
+        return F.try_multiply(F.floor(c / width), w).try_cast("int")
     if mode == "trunc":
-        return (c / width).cast("int") * width
+        return F.try_multiply((c / width).try_cast("long"), w).try_cast("int")
     raise ValueError(f"unknown bucket mode {mode!r}")
 
 

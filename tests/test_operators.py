@@ -164,3 +164,10 @@ def test_avg_by_key_keeps_double_precision_for_float_values(spark):
     got = rows(avg_by_key(parent, child, "k", "g", "v", "m"))
     direct = rows(parent.join(child, "k").groupBy("g").agg(F.avg("v").alias("m")))
     assert got[0][1] == pytest.approx(direct[0][1], rel=1e-15)
+
+
+def test_buckets_never_fail_on_extreme_values(spark):
+    df = spark.createDataFrame([(3e9, 1.0), (-5.0, 2.0), (1e300, 3.0)], "y double, v double")
+    floor = dict(rows(bucket_avg(df, "y", "v", 10, "floor", "b", "m")))
+    trunc = dict(rows(bucket_avg(df, "y", "v", 10, "trunc", "b", "m")))
+    assert floor == {None: 2.0, -10: 2.0} and trunc == {None: 2.0, 0: 2.0}
