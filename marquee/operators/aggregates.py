@@ -71,8 +71,10 @@ def avg_by_key(parent: DataFrame, child: DataFrame, on: str | Sequence[tuple[str
     weights = child.groupBy(*child_keys, group).agg(F.count(F.lit(1)).alias("_w"))
     joined = parent.join(weights, _join_cond(parent, weights, on), "inner")
     v, w = F.col(value), F.col("_w")
-    if dict(parent.dtypes).get(value) == "float":
-        v = v.cast("double")  # as avg() does: float * count would round to float
+    if not dict(parent.dtypes).get(value, "").startswith("decimal"):
+        # Sum value x count in double, as avg() does: float * count would round
+        # to float, and int * count could overflow a bigint sum.
+        v = v.cast("double")
     mean = F.try_divide(F.sum(v * w), F.sum(F.when(v.isNotNull(), w)))
     return joined.groupBy(group).agg(mean.alias(out)).orderBy(group)
 
