@@ -171,3 +171,15 @@ def test_buckets_never_fail_on_extreme_values(spark):
     floor = dict(rows(bucket_avg(df, "y", "v", 10, "floor", "b", "m")))
     trunc = dict(rows(bucket_avg(df, "y", "v", 10, "trunc", "b", "m")))
     assert floor == {None: 2.0, -10: 2.0} and trunc == {None: 2.0, 0: 2.0}
+
+
+def test_cleaning_helpers(spark):
+    from marquee.operators import (cast_columns, drop_present, keep_matching, nullify_sentinels,
+                                   rename_columns)
+    df = spark.createDataFrame([("1999", "\\N", "x"), ("19x9", "7", "y"), ("\\N", "8", "z")],
+                               "year string, n string, tag string")
+    cleaned = cast_columns(nullify_sentinels(df, ["year", "n"]), {"year": "int", "n": "int"})
+    assert rows(cleaned) == [(1999, None, "x"), (None, 7, "y"), (None, 8, "z")]
+    assert rows(keep_matching(df, "year", "^[0-9]{4}$").select("tag")) == [("x",)]
+    renamed = rename_columns(drop_present(df, ["n", "missing"]), {"tag": "label"})
+    assert renamed.columns == ["year", "label"]
