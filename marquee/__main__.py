@@ -6,6 +6,11 @@
     python -m marquee trends           --combined FILE --out DIR [--sql]
     python -m marquee influence        --letterboxd DIR --imdb DIR --out PATH [--sql]
     python -m marquee combine          --dir DIR --out PATH
+    python -m marquee convert          --letterboxd DIR --imdb DIR --out DIR
+
+``convert`` writes every input table once as Parquet (``<out>/<name>.parquet``);
+the reports then read that folder with ``--parquet DIR`` instead of
+``--letterboxd``/``--imdb``: splittable, column-pruned, filter-pushed scans.
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so master and
 cluster settings are whatever ``spark-submit`` (or the environment) gives.
@@ -43,10 +48,11 @@ PREVIEW_ORDER = {
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="python -m marquee", description=__doc__.split("\n")[0])
     p.add_argument("report", choices=["films-per-year", "genre-rating", "packed-genre", "trends",
-                                      "influence", "combine"])
+                                      "influence", "combine", "convert"])
     p.add_argument("--letterboxd", help="folder with movies.csv, genres.csv, actors.csv")
     p.add_argument("--imdb", help="folder with the title/name TSV files")
     p.add_argument("--no-header", action="store_true", help="IMDb TSV files lack a header line")
+    p.add_argument("--parquet", help="folder written by `convert` (replaces the CSV/TSV inputs)")
     p.add_argument("--combined", help="combined CSV file for the trend reports")
     p.add_argument("--dir", help="folder of CSV files to combine side by side")
     p.add_argument("--out", required=True, help="output path (a folder of part files)")
@@ -62,27 +68,45 @@ def _need(args, *names):
         raise SystemExit(f"{args.report} needs --{' --'.join(missing)}")
 
 
+def _letterboxd(spark: SparkSession, args) -> dict[str, DataFrame]:
+    if args.parquet:
+        return {k: spark.read.parquet(f"{args.parquet.rstrip('/')}/{k}.parquet")
+                for k in mv.LETTERBOXD_FILES}
+    _need(args, "letterboxd")
+    return mv.load_letterboxd(spark, args.letterboxd)
+
+
+def _imdb(spark: SparkSession, args) -> dict[str, DataFrame]:
+    if args.parquet:
+        return {k: spark.read.parquet(f"{args.parquet.rstrip('/')}/{k}.parquet")
+                for k in mv.IMDB_FILES}
+    _need(args, "imdb")
+    return mv.load_imdb(spark, args.imdb, not args.no_header)
+
+
 def run(spark: SparkSession, argv: list[str]) -> dict[str, DataFrame]:
     """Run the report named in ``argv``; return the previews (already written)."""
     args = _parser().parse_args(argv)
     results: dict[str, DataFrame] = {}
     profile = PLAIN_CSV
-    if args.report == "films-per-year":
+    if args.report == "convert":
         _need(args, "letterboxd", "imdb")
-        lb, imdb = mv.load_letterboxd(spark, args.letterboxd), mv.load_imdb(spark, args.imdb,
-                                                                           not args.no_header)
+        mv.to_parquet({**mv.load_letterboxd(spark, args.letterboxd),
+                       **mv.load_imdb(spark, args.imdb, not args.no_header)},
+                      args.out, mode=args.mode)
+        return {}
+    if args.report == "films-per-year":
+        lb, imdb = _letterboxd(spark, args), _imdb(spark, args)
         results["films_per_year"] = (
             mvs.high_rated_by_year_sql(spark, lb["movies"], imdb["basics"], imdb["ratings"])
             if args.sql else mv.high_rated_by_year(lb["movies"], imdb["basics"], imdb["ratings"]))
     elif args.report == "genre-rating":
-        _need(args, "letterboxd")
-        lb = mv.load_letterboxd(spark, args.letterboxd)
+        lb = _letterboxd(spark, args)
         results["genre_rating"] = (mvs.avg_rating_by_genre_sql(spark, lb["movies"], lb["genres"])
                                    if args.sql else
                                    mv.avg_rating_by_genre(lb["movies"], lb["genres"]))
     elif args.report == "packed-genre":
-        _need(args, "imdb")
-        imdb = mv.load_imdb(spark, args.imdb, not args.no_header)
+        imdb = _imdb(spark, args)
         results["packed_genre"] = (
             mvs.avg_rating_by_packed_genre_sql(spark, imdb["basics"], imdb["ratings"])
             if args.sql else mv.avg_rating_by_packed_genre(imdb["basics"], imdb["ratings"]))
@@ -91,10 +115,7 @@ def run(spark: SparkSession, argv: list[str]) -> dict[str, DataFrame]:
         clean = mv.clean_combined(mv.load_combined(spark, args.combined))
         results = mvs.trend_reports_sql(spark, clean) if args.sql else mv.trend_reports(clean)
     elif args.report == "influence":
-        _need(args, "letterboxd", "imdb")
-        lb, imdb = mv.load_letterboxd(spark, args.letterboxd), mv.load_imdb(spark, args.imdb,
-                                                                           not args.no_header)
-        tables = {**lb, **imdb}
+        tables = {**_letterboxd(spark, args), **_imdb(spark, args)}
         results["influence"] = (mvs.actor_influence_sql(spark, tables) if args.sql else
                                 mv.actor_influence(*(tables[k] for k in (
                                     "movies", "genres", "basics", "ratings", "principals",

@@ -42,3 +42,14 @@ def test_packed_genre_headerless_and_combine(spark, tmp_path):
     prev = run(spark, ["combine", "--dir", os.path.join(FIXTURES, "concat_dir"),
                        "--out", str(tmp_path / "comb")])
     assert prev["combined"].count() == 4
+
+
+def test_convert_then_report_from_parquet(spark, tmp_path):
+    pq = str(tmp_path / "pq")
+    assert run(spark, ["convert", "--letterboxd", LB, "--imdb", IMDB, "--out", pq]) == {}
+    assert sorted(os.listdir(pq)) == sorted(f"{k}.parquet" for k in (
+        "movies", "genres", "actors", "basics", "ratings", "principals", "names"))
+    from_csv = run(spark, ["influence", "--letterboxd", LB, "--imdb", IMDB,
+                           "--out", str(tmp_path / "a")])
+    from_pq = run(spark, ["influence", "--parquet", pq, "--out", str(tmp_path / "b")])
+    assert sorted(rows(from_csv["influence"])) == sorted(rows(from_pq["influence"]))
