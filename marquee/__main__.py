@@ -6,7 +6,7 @@
     python -m marquee trends           --combined FILE --out DIR [--sql]
     python -m marquee influence        --letterboxd DIR --imdb DIR --out PATH [--sql]
     python -m marquee combine          --dir DIR --out PATH
-    python -m marquee convert          --letterboxd DIR --imdb DIR --out DIR
+    python -m marquee convert          [--letterboxd DIR] [--imdb DIR] [--combined FILE] --out DIR
 
 ``convert`` writes every input table once as Parquet (``<out>/<name>.parquet``);
 the reports then read that folder with ``--parquet DIR`` instead of
@@ -90,10 +90,16 @@ def run(spark: SparkSession, argv: list[str]) -> dict[str, DataFrame]:
     results: dict[str, DataFrame] = {}
     profile = PLAIN_CSV
     if args.report == "convert":
-        _need(args, "letterboxd", "imdb")
-        mv.to_parquet({**mv.load_letterboxd(spark, args.letterboxd),
-                       **mv.load_imdb(spark, args.imdb, not args.no_header)},
-                      args.out, mode=args.mode)
+        tables: dict[str, DataFrame] = {}
+        if args.letterboxd:
+            tables.update(mv.load_letterboxd(spark, args.letterboxd))
+        if args.imdb:
+            tables.update(mv.load_imdb(spark, args.imdb, not args.no_header))
+        if args.combined:
+            tables["combined"] = mv.load_combined(spark, args.combined)
+        if not tables:
+            raise SystemExit("convert needs --letterboxd, --imdb and/or --combined")
+        mv.to_parquet(tables, args.out, mode=args.mode)
         return {}
     if args.report == "films-per-year":
         lb, imdb = _letterboxd(spark, args), _imdb(spark, args)
@@ -111,8 +117,12 @@ def run(spark: SparkSession, argv: list[str]) -> dict[str, DataFrame]:
             mvs.avg_rating_by_packed_genre_sql(spark, imdb["basics"], imdb["ratings"])
             if args.sql else mv.avg_rating_by_packed_genre(imdb["basics"], imdb["ratings"]))
     elif args.report == "trends":
-        _need(args, "combined")
-        clean = mv.clean_combined(mv.load_combined(spark, args.combined))
+        if args.parquet:
+            combined = spark.read.parquet(f"{args.parquet.rstrip('/')}/combined.parquet")
+        else:
+            _need(args, "combined")
+            combined = mv.load_combined(spark, args.combined)
+        clean = mv.clean_combined(combined)
         results = mvs.trend_reports_sql(spark, clean) if args.sql else mv.trend_reports(clean)
     elif args.report == "influence":
         tables = {**_letterboxd(spark, args), **_imdb(spark, args)}
@@ -136,8 +146,10 @@ def run(spark: SparkSession, argv: list[str]) -> dict[str, DataFrame]:
 
 
 def main(argv: list[str] | None = None) -> int:
+    argv = sys.argv[1:] if argv is None else argv
+    _parser().parse_args(argv)  # --help and usage errors exit before a session starts
     spark = SparkSession.builder.appName("marquee").getOrCreate()
-    for name, preview in run(spark, sys.argv[1:] if argv is None else argv).items():
+    for name, preview in run(spark, argv).items():
         print(f"== {name}")
         preview.show(truncate=False)
     return 0

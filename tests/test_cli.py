@@ -53,3 +53,11 @@ def test_convert_then_report_from_parquet(spark, tmp_path):
                            "--out", str(tmp_path / "a")])
     from_pq = run(spark, ["influence", "--parquet", pq, "--out", str(tmp_path / "b")])
     assert sorted(rows(from_csv["influence"])) == sorted(rows(from_pq["influence"]))
+
+
+def test_trends_from_converted_combined_table(spark, tmp_path):
+    pq = str(tmp_path / "pq")
+    run(spark, ["convert", "--combined", os.path.join(FIXTURES, "combined_all_data.csv"),
+                "--out", pq])
+    prev = run(spark, ["trends", "--parquet", pq, "--out", str(tmp_path / "t")])
+    assert rows(prev["decade_avg_ratings"])[0] == (0, 1.0)
