@@ -50,3 +50,51 @@ def test_concat_matches_positional_zip(spark, a, b):
         kb = sb[i] if i < len(sb) else None
         want.append((ka, None if ka is None else f"l{ka}", None if kb is None else f"r{kb}"))
     assert got == want
+
+
+parents = st.lists(st.tuples(st.integers(0, 5), st.one_of(st.none(), st.floats(0, 10, width=32))),
+                   min_size=0, max_size=15)
+children = st.lists(st.tuples(st.integers(0, 6), st.sampled_from(["a", "b", "c"])),
+                    min_size=0, max_size=40)
+
+
+def _mean(values):
+    vals = [v for v in values if v is not None]
+    return sum(vals) / len(vals) if vals else None
+
+
+@SETTINGS
+@given(ps=parents, cs=children)
+def test_avg_by_key_matches_mean_over_the_materialised_join(spark, ps, cs):
+    from marquee.operators import avg_by_key
+    p = spark.createDataFrame(ps, "k int, v double")
+    c = spark.createDataFrame(cs, "k int, g string")
+    got = {g: m for g, m in rows(avg_by_key(p, c, "k", "g", "v", "m"))}
+    joined = [(g, v) for pk, v in ps for ck, g in cs if pk == ck]
+    want = {g: _mean([v for h, v in joined if h == g]) for g in {g for g, _ in joined}}
+    assert set(got) == set(want)
+    for g, m in want.items():
+        assert (got[g] is None and m is None) or abs(got[g] - m) < 1e-9
+
+
+packed = st.lists(st.tuples(st.integers(0, 5), st.lists(st.sampled_from(["x", "y", "z", ""]),
+                                                         min_size=1, max_size=3)),
+                  min_size=0, max_size=10)
+facts = st.lists(st.tuples(st.integers(0, 6), st.one_of(st.none(), st.floats(0, 100, width=32))),
+                 min_size=0, max_size=40)
+
+
+@SETTINGS
+@given(ls=packed, fs=facts)
+def test_avg_by_packed_key_matches_mean_over_exploded_join(spark, ls, fs):
+    from marquee.operators import avg_by_packed_key
+    left = spark.createDataFrame([(k, ",".join(t)) for k, t in ls], "k int, tags string")
+    right = spark.createDataFrame(fs, "k int, v double")
+    got = {t: m for t, m in rows(avg_by_packed_key(left, right, "k", "tags", "v",
+                                                   exclude=["z"], group="t"))}
+    exploded = [(t, v) for k, tags in ls for fk, v in fs if k == fk for t in tags]
+    want = {t: _mean([v for s, v in exploded if s == t])
+            for t in {t for t, _ in exploded} if t != "z"}
+    assert set(got) == set(want)
+    for t, m in want.items():
+        assert (got[t] is None and m is None) or abs(got[t] - m) < 1e-6
