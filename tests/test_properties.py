@@ -98,3 +98,34 @@ def test_avg_by_packed_key_matches_mean_over_exploded_join(spark, ls, fs):
     assert set(got) == set(want)
     for t, m in want.items():
         assert (got[t] is None and m is None) or abs(got[t] - m) < 1e-6
+
+
+credits = st.lists(st.tuples(st.sampled_from(["g1", "g2"]), st.integers(0, 5),
+                             st.one_of(st.none(), st.floats(0, 10, width=32)),
+                             st.one_of(st.none(), st.integers(0, 1000))), max_size=40)
+name_map = st.dictionaries(st.integers(0, 6), st.sampled_from(["Ann", "Bob", "Cy"]), max_size=7)
+
+
+@SETTINGS
+@given(cs=credits, names=name_map)
+def test_score_by_label_matches_brute_force(spark, cs, names):
+    from marquee.operators import score_by_label
+    df = spark.createDataFrame(cs, "grp string, pid int, rating double, votes int")
+    labels = spark.createDataFrame(sorted(names.items()), "pid int, name string")
+    got = {(g, n): r[2:] for r in rows(score_by_label(df, "grp", "pid", labels, "pid", "name",
+                                                      "rating", "votes"))
+           for g, n in [r[:2]]}
+    joined = [(g, names[p], r, v) for g, p, r, v in cs if p in names]
+    want = {}
+    for key in {(g, n) for g, n, _, _ in joined}:
+        grp = [(r, v) for g, n, r, v in joined if (g, n) == key]
+        mean = _mean([r for r, _ in grp])
+        total = sum(v for _, v in grp if v is not None) if any(v is not None for _, v in grp) else None
+        score = None if mean is None or total is None else total * mean
+        want[key] = (len(grp), mean, total, score)
+    assert set(got) == set(want)
+    for key, (n, mean, total, score) in want.items():
+        g_n, g_mean, g_total, g_score = got[key]
+        assert g_n == n and g_total == total
+        for a, b in ((g_mean, mean), (g_score, score)):
+            assert (a is None and b is None) or abs(a - b) <= 1e-9 * max(1.0, abs(b))
