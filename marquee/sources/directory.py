@@ -9,6 +9,7 @@ Spark (``movies.csv/part-*.csv``); both load as one table named by the entry.
 
 from __future__ import annotations
 
+import os
 from concurrent.futures import ThreadPoolExecutor
 from typing import Mapping
 from urllib.parse import urlparse
@@ -34,20 +35,32 @@ def list_entries(spark: SparkSession, directory: str, suffix: str = ".csv") -> l
     Sorting by name makes the table order, and so column order of any
     positional combination, independent of the filesystem's listing order.
     """
-    root = directory.rstrip("/")
-    root_part = _path_part(root).rstrip("/")
+    root = directory.rstrip("/") or directory
     files = (spark.read.format("binaryFile")
              .option("recursiveFileLookup", "true")
              .option("pathGlobFilter", f"*{suffix}")
              .load(root)
              .select("path"))
+    # Spark lists fully qualified paths; the caller's root may be relative.
+    root_part = _path_part(root).rstrip("/")
+    if root_part.startswith("/"):
+        prefix, segments = root_part + "/", None
+    else:
+        # Relative: to the working directory for local files, or to a home
+        # directory on a remote filesystem (found as segments in the path).
+        prefix = os.path.abspath(root_part).rstrip("/") + "/"
+        segments = "/" + os.path.normpath(root_part).strip("/") + "/"
     names: set[str] = set()
     # One row per file: a listing, bounded by the number of files.
     for row in files.collect():
         file_part = _path_part(row["path"])
-        if not file_part.startswith(root_part + "/"):
+        if file_part.startswith(prefix):
+            rest = file_part[len(prefix):]
+        elif segments is not None and segments in file_part:
+            rest = file_part[file_part.find(segments) + len(segments):]
+        else:
             continue
-        top = file_part[len(root_part) + 1:].split("/", 1)[0]
+        top = rest.split("/", 1)[0]
         if top.endswith(suffix) and not top.startswith(("_", ".")):
             names.add(top)
     return [(top[: -len(suffix)], f"{root}/{top}") for top in sorted(names)]

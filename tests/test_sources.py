@@ -85,3 +85,10 @@ def test_scratch_paths_live_under_the_session_checkpoint_folder(spark):
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b
     assert a.startswith(base.rstrip("/")) or a.startswith(base.split(":", 1)[-1].rstrip("/"))
+
+
+def test_directory_ingest_accepts_a_relative_path(spark):
+    rel = os.path.relpath(os.path.join(FIXTURES, "concat_dir"))
+    assert not os.path.isabs(rel)
+    assert list(read_directory(spark, rel, RFC4180_CSV)) == ["actors", "genres", "movies"]
+    assert list(read_directory(spark, rel + "/", RFC4180_CSV)) == ["actors", "genres", "movies"]
