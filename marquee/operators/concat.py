@@ -25,6 +25,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from marquee.operators.clean import first_wins
 from marquee.session import checkpoint_dir
@@ -63,8 +64,10 @@ def concat_columns(dfs: Sequence[DataFrame], order_by: Sequence[Sequence[str | C
     # Each input's sort + checkpoint is an independent job: submit them from a
     # few driver threads so Spark can run them side by side.
     with ThreadPoolExecutor(max_workers=min(8, len(dfs))) as pool:
-        indexed = list(pool.map(lambda args: positional_index(args[0], args[1])
-                                .select(POSITION, *args[2]), zip(dfs, order_by, kept)))
+        # Jobs from the pool keep the caller's job group, description and pool.
+        index_one = inheritable_thread_target(dfs[0].sparkSession)(
+            lambda args: positional_index(args[0], args[1]).select(POSITION, *args[2]))
+        indexed = list(pool.map(index_one, zip(dfs, order_by, kept)))
     combined = reduce(lambda a, b: a.join(b, POSITION, "full_outer"), indexed)
     out_cols = [c for cols in kept for c in cols]
     return combined.orderBy(POSITION).select(*out_cols)

@@ -15,6 +15,7 @@ from typing import Mapping
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.util import inheritable_thread_target
 
 from marquee.sources.delimited import PLAIN_CSV, Profile, read_delimited
 
@@ -96,7 +97,8 @@ def read_directory(spark: SparkSession, directory: str, profile: Profile = PLAIN
     # Schema inference runs small jobs per file; submitting them from a few
     # driver threads lets Spark run them side by side. Order stays by name.
     with ThreadPoolExecutor(max_workers=min(8, len(entries))) as pool:
-        loaded = list(pool.map(load, entries))
+        # Jobs from the pool keep the caller's job group, description and pool.
+        loaded = list(pool.map(inheritable_thread_target(spark)(load), entries))
     tables = {name: df for (name, _), df in zip(entries, loaded) if df is not None}
     if not tables:
         raise ValueError(f"none of the CSV files in {directory} could be loaded")

@@ -183,3 +183,15 @@ def test_cleaning_helpers(spark):
     assert rows(keep_matching(df, "year", "^[0-9]{4}$").select("tag")) == [("x",)]
     renamed = rename_columns(drop_present(df, ["n", "missing"]), {"tag": "label"})
     assert renamed.columns == ["year", "label"]
+
+
+def test_concurrent_jobs_keep_the_callers_job_group(spark):
+    sc = spark.sparkContext
+    a = spark.createDataFrame([(2,), (1,)], "x int")
+    b = spark.createDataFrame([(5,), (4,), (3,)], "y int")
+    sc.setJobGroup("marquee-pool-test", "positional indexes from pool threads")
+    try:
+        concat_columns([a, b], [["x"], ["y"]])  # builds: index jobs run in pool threads only
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(sc.statusTracker().getJobIdsForGroup("marquee-pool-test")) >= 2
