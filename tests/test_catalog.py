@@ -39,3 +39,16 @@ def test_entry_smoke(spark):
     assert df.columns == ["segment", "supplier_name", "line_count", "avg_price", "total_size",
                           "influence_score"]
     assert df.count() >= 0
+
+
+PAIRS = sorted(name[:-3] for name in queries() if name.endswith("_df")
+               and name[:-3] + "_sql" in queries())
+
+
+@pytest.mark.parametrize("stem", PAIRS)
+def test_dataframe_and_sql_forms_agree(spark, stem):
+    df_form = queries()[stem + "_df"](spark, SMALL_SF)
+    sql_form = queries()[stem + "_sql"](spark, SMALL_SF)
+    assert df_form.columns == sql_form.columns
+    assert digest(df_form.columns, [tuple(r) for r in df_form.collect()])[1] == \
+        digest(sql_form.columns, [tuple(r) for r in sql_form.collect()])[1]
