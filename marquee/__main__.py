@@ -13,7 +13,8 @@ the reports then read that folder with ``--parquet DIR`` instead of
 ``--letterboxd``/``--imdb``: splittable, column-pruned, filter-pushed scans.
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so master and
-cluster settings are whatever ``spark-submit`` (or the environment) gives.
+cluster settings are whatever ``spark-submit`` (or the environment) gives;
+Spark's web UI stays off unless ``--spark-ui`` is passed.
 Results are written once (CSV with header; the influence report with the
 pipe profile) and previewed from the written files. ``trends`` writes one
 folder per report under ``--out``.
@@ -59,6 +60,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--sql", action="store_true", help="run the SQL form of the report")
     p.add_argument("--mode", default="errorifexists", help="write mode (default: errorifexists)")
     p.add_argument("--show", type=int, default=20, help="rows to preview after writing")
+    p.add_argument("--spark-ui", action="store_true",
+                   help="start Spark's web UI (off by default: it opens a port)")
     return p
 
 
@@ -147,8 +150,10 @@ def run(spark: SparkSession, argv: list[str]) -> dict[str, DataFrame]:
 
 def main(argv: list[str] | None = None) -> int:
     argv = sys.argv[1:] if argv is None else argv
-    _parser().parse_args(argv)  # --help and usage errors exit before a session starts
-    spark = SparkSession.builder.appName("marquee").getOrCreate()
+    args = _parser().parse_args(argv)  # --help and usage errors exit before a session starts
+    spark = (SparkSession.builder.appName("marquee")
+             .config("spark.ui.enabled", "true" if args.spark_ui else "false")
+             .getOrCreate())
     for name, preview in run(spark, argv).items():
         print(f"== {name}")
         preview.show(truncate=False)
