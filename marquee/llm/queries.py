@@ -7,13 +7,31 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import mixing, sharding, simhash, token_counts
+from marquee.llm import decontaminate, language_id, mixing, sharding, simhash, token_counts, toxicity
 from marquee.sources.tables import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
 
 
+def op1_language_id(spark: SparkSession, d: str) -> DataFrame:
+    docs = read_table(spark, d, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
+    languages = language_id.learn(docs.where(~held_out))
+    found = docs.select("doc_id", held_out.alias("held_out"),
+                        language_id.predict_column(languages, spark, F.col("text")).alias("found"))
+    return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score")
+
+
+def op3_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = read_table(spark, d, "documents")
+    chain = toxicity.train(docs, read_table(spark, d, "labels"))
+    scored = docs.select("doc_id", "text", toxicity.score_column(chain, F.col("text")).alias("scores"))
+    return scored.select("doc_id", F.col("scores.low_quality").alias("p_low_quality"),
+                         F.col("scores.toxic").alias("p_toxic"),
+                         toxicity.is_toxic(F.col("scores"), F.col("text")).alias("toxic"))
+
+
 def op6_simhash_dedup(spark: SparkSession, d: str) -> DataFrame:
     groups = simhash.simhash_groups(read_table(spark, d, "documents"), shingle=4, max_bits=4, seed=42)
     return groups.select(F.col("id").alias("doc_id"),
@@ -21,6 +39,11 @@ def op6_simhash_dedup(spark: SparkSession, d: str) -> DataFrame:
                          F.col("component").alias("component_id"))
 
 
+def op7_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    found = decontaminate.contained_items(read_table(spark, d, "documents"), read_table(spark, d, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op8_token_counts(spark: SparkSession, d: str) -> DataFrame:
     import public_tokenizers
 
@@ -105,10 +128,30 @@ WITH docs AS (
 SELECT doc_id, size, source_size, target, copies, copies * size AS taken FROM taken
 """
 
+def _shingles(table: str, key: str) -> str:
+    k = decontaminate.SHINGLE
+    return f"""SELECT DISTINCT {key}, row, unnest(list_transform(range(1, greatest(len(w) - {k - 2}, 2)),
+      lambda i: array_to_string(w[i:i + {k - 1}], ' '))) AS shingle
+    FROM (SELECT {key}, row_number() OVER () AS row,
+                 regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM {table}) WHERE len(w) > 0"""
+
+
+OP7_SQL = f"""
+WITH doc AS ({_shingles("documents", "doc_id")}), item AS ({_shingles("benchmark", "item_id")}),
+sizes AS (SELECT item_id, row, count(*)::INTEGER AS n_shingles FROM item GROUP BY ALL),
+shared AS (SELECT doc.doc_id, doc.row AS doc_row, item.item_id, item.row, count(*)::INTEGER AS n_shared
+           FROM doc JOIN item USING (shingle) GROUP BY ALL)
+SELECT doc_id, item_id, n_shared, n_shingles, n_shared::DOUBLE / n_shingles AS containment
+FROM shared JOIN sizes USING (item_id, row) WHERE n_shared >= {decontaminate.CONTAINMENT} * n_shingles - 1e-9
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
+    "op3_toxicity": op3_toxicity,
     "op6_simhash_dedup": op6_simhash_dedup,
+    "op7_decontamination": op7_decontamination,
     "op8_token_counts": op8_token_counts,
     "op9_sharding": op9_sharding,
     "op10_source_mixing": op10_source_mixing,
 }
-ORACLES: dict[str, str] = {"op9_sharding": OP9_SQL, "op10_source_mixing": OP10_SQL}
+ORACLES: dict[str, str] = {"op7_decontamination": OP7_SQL, "op9_sharding": OP9_SQL, "op10_source_mixing": OP10_SQL}
