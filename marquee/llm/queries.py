@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import decontaminate, language_id, mixing, sharding, simhash, token_counts, toxicity
+from marquee.llm import decontaminate, html_extract, language_id, mixing, sharding, simhash, token_counts, toxicity
 from marquee.sources.tables import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -32,6 +32,13 @@ def op3_toxicity(spark: SparkSession, d: str) -> DataFrame:
                          toxicity.is_toxic(F.col("scores"), F.col("text")).alias("toxic"))
 
 
+def op4_html_extraction(spark: SparkSession, d: str) -> DataFrame:
+    model = html_extract.fit(html_extract.labelled_pages())
+    pages = read_table(spark, d, "pages").select(
+        "page_id", "url", html_extract.extract_column(spark, model, F.col("html")).alias("text"))
+    return pages.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op6_simhash_dedup(spark: SparkSession, d: str) -> DataFrame:
     groups = simhash.simhash_groups(read_table(spark, d, "documents"), shingle=4, max_bits=4, seed=42)
     return groups.select(F.col("id").alias("doc_id"),
@@ -148,6 +155,7 @@ FROM shared JOIN sizes USING (item_id, row) WHERE n_shared >= {decontaminate.CON
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op3_toxicity": op3_toxicity,
+    "op4_html_extraction": op4_html_extraction,
     "op6_simhash_dedup": op6_simhash_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_token_counts": op8_token_counts,

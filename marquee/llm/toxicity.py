@@ -41,9 +41,9 @@ MAX_TRAIN = 8000     # labelled documents that the chain is fitted on
 N_FEATURES = 2048    # features kept for each category
 MIN_DOCS = 8         # training documents a kept feature occurs in, at least
 FOLDS = 3
-THRESHOLD = 0.5
+THRESHOLD = 0.4
 _PREFIXES = (3, 4, 5, 6)
-_RIDGE = 1.0
+_RIDGE = 0.3
 _STEPS = 300
 _CHARS = 1 << 20
 
