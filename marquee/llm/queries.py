@@ -7,7 +7,8 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import decontaminate, html_extract, language_id, mixing, sharding, simhash, token_counts, toxicity
+from marquee.llm import (bm25_topk, decontaminate, html_extract, language_id, license_scan, mixing,
+                         sharding, simhash, token_counts, toxicity)
 from marquee.sources.tables import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -23,6 +24,10 @@ def op1_language_id(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score")
 
 
+def op2_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    return license_scan.license_notices(read_table(spark, d, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op3_toxicity(spark: SparkSession, d: str) -> DataFrame:
     docs = read_table(spark, d, "documents")
     chain = toxicity.train(docs, read_table(spark, d, "labels"))
@@ -39,6 +44,11 @@ def op4_html_extraction(spark: SparkSession, d: str) -> DataFrame:
     return pages.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+def op5_bm25_topk(spark: SparkSession, d: str) -> DataFrame:
+    docs = read_table(spark, d, "documents")
+    return bm25_topk.top_k(docs.where(F.col("doc_id") % 20 == 0), docs, k=10)
+
+
 def op6_simhash_dedup(spark: SparkSession, d: str) -> DataFrame:
     groups = simhash.simhash_groups(read_table(spark, d, "documents"), shingle=4, max_bits=4, seed=42)
     return groups.select(F.col("id").alias("doc_id"),
@@ -154,8 +164,10 @@ FROM shared JOIN sizes USING (item_id, row) WHERE n_shared >= {decontaminate.CON
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_license_scan": op2_license_scan,
     "op3_toxicity": op3_toxicity,
     "op4_html_extraction": op4_html_extraction,
+    "op5_bm25_topk": op5_bm25_topk,
     "op6_simhash_dedup": op6_simhash_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_token_counts": op8_token_counts,
