@@ -23,6 +23,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def md5_number(text: Column) -> Column:
     """60-bit non-negative integer of a string, the same in every SQL engine."""
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
@@ -59,17 +67,3 @@ def mix64(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     h = (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
     return h ^ (h >> np.uint64(33))
-
-
-def keep_first_of_repeats(df: DataFrame, key: list[str]) -> DataFrame:
-    """``df`` with one row of each set of rows that agree (nulls equal) in ``key``.
-
-    Only keys that do repeat are shuffled with their full rows; all other rows
-    pass through a semi/anti join against the (normally tiny) list of repeats.
-    """
-    repeats = cut_lineage(df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-                          .where("_n > 1").select(*[F.col(k).alias(f"_k_{k}") for k in key]))
-    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in key]
-    single = df.join(repeats, same, "left_anti")
-    repeated = df.join(repeats, same, "left_semi").dropDuplicates(key)
-    return single.unionByName(repeated)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm.common import md5_number
+from marquee.llm.common import md5_number, unused
 
 N_SHARDS = 16
 TABLE_SIZE = 2039  # a prime, over 100 slots a shard
@@ -63,9 +63,11 @@ def lookup_table(spark: SparkSession, n_shards: int = N_SHARDS, table_size: int
 def place(docs: DataFrame, id_col: str = "doc_id", n_shards: int = N_SHARDS,
           table_size: int = TABLE_SIZE, seed: str = SEED) -> DataFrame:
     """``docs`` with ``slot`` and ``shard`` added."""
+    docs = docs.drop("slot", "shard") if id_col not in ("slot", "shard") else docs
+    at, name = unused(docs, "table_slot"), unused(docs, "table_shard")
     table = lookup_table(docs.sparkSession, n_shards, table_size, seed).select(
-        F.col("slot").alias("_table_slot"), F.col("shard").alias("_table_shard"))
+        F.col("slot").alias(at), F.col("shard").alias(name))
     key = F.concat(F.lit(f"{seed}:key:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
-    slotted = docs.withColumn("slot", (md5_number(key) % table_size).cast("int"))
-    return (slotted.join(F.broadcast(table), F.col("slot") == F.col("_table_slot"))
-            .withColumn("shard", F.col("_table_shard")).drop("_table_slot", "_table_shard"))
+    slot = (md5_number(key) % table_size).cast("int")
+    return (docs.join(F.broadcast(table), slot == F.col(at))
+            .withColumnsRenamed({at: "slot", name: "shard"}))

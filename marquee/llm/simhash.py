@@ -128,7 +128,8 @@ def _accepting_slot(differing: Column, max_bits: int) -> Column:
     slot = F.lit(None).cast("int")
     for s, (lo, width) in reversed(list(enumerate(segments(max_bits)))):
         part = F.shiftrightunsigned(differing.bitwiseAND(F.lit(_mask(lo, width))), lo)
-        position = F.when(part == 0, 0).otherwise(F.bit_count(part - 1))
+        position = (F.when(part == 0, 0).when(part == F.lit(-(1 << 63)), 63)
+                    .otherwise(F.bit_count(part - 1)))
         slot = F.when(F.bit_count(part) <= 1, position + s * 64).otherwise(slot)
     return slot
 
