@@ -9,7 +9,9 @@ from inputs as uncertain as those it will meet.
 Features are presences, not counts, so a long text is no more suspicious than
 a short one: whole words, word beginnings of 3 to 6 letters (a stem with other
 endings is still known) and a few shape bins (share of symbols, of capitals).
-The features that tell a category most are kept, at most ``n_features``.
+Kept are the features that speak for a category beyond chance, the strongest
+first, at most ``n_features``: what speaks for nothing is no feature, so the
+many ordinary words of a long text cannot outweigh the few that matter.
 
 Fitting uses a bounded sample of labelled documents, ``max_train`` by hash of
 the id, spread over the tasks; the driver gets the counts of kept features and
@@ -33,13 +35,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import cut_lineage, groups_by_size, mix64, str_rows
+from marquee.llm.common import WORD_PATTERN, cut_lineage, groups_by_size, mix64, str_rows
 from marquee.llm.wordhash import HashTable, Words, char_table, code_points
 
 CATEGORIES = ("low_quality", "toxic")  # in chain order
 MAX_TRAIN = 8000     # labelled documents that the chain is fitted on
 N_FEATURES = 2048    # features kept for each category
 MIN_DOCS = 8         # training documents a kept feature occurs in, at least
+LEAST_Z = 4.5        # how much more often than by chance a kept feature meets its category
 FOLDS = 3
 THRESHOLD = 0.4
 _PREFIXES = (3, 4, 5, 6)
@@ -186,7 +189,7 @@ def _training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
 
 
 def _select_features(train: DataFrame, categories, n_features: int, min_docs: int) -> np.ndarray:
-    """Hashes of the features that tell some category most, by the z-score of their label sums."""
+    """Hashes of the features that speak most for some category, by the z-score of their label sums."""
     width = len(categories)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,8 +219,8 @@ def _select_features(train: DataFrame, categories, n_features: int, min_docs: in
     for i in range(width):
         p = total[f"p{i}"]
         if 0 < p < 1:
-            z = F.abs(F.col(f"s{i}") - F.col("n") * p) / F.sqrt(F.col("n") * p * (1 - p))
-            keys.update(r.key for r in counted.select("key", z.alias("z"))
+            z = (F.col(f"s{i}") - F.col("n") * p) / F.sqrt(F.col("n") * p * (1 - p))
+            keys.update(r.key for r in counted.select("key", z.alias("z")).where(F.col("z") >= LEAST_Z)
                         .orderBy(F.col("z").desc(), "key").limit(n_features).collect())
     return np.array(sorted(keys), np.int64).view(np.uint64)
 
@@ -270,5 +273,4 @@ def score_column(chain: Chain, text: Column) -> Column:
 
 
 def is_toxic(scores: Column, text: Column, threshold: float = THRESHOLD, category: str = "toxic") -> Column:
-    blank = F.coalesce(F.length(F.trim(text)) == 0, F.lit(True))
-    return ~blank & (scores[category] > threshold)
+    return F.coalesce(text.rlike(WORD_PATTERN), F.lit(False)) & (scores[category] > threshold)
