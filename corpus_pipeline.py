@@ -11,11 +11,11 @@ any other; what each stage does with them is in its operator's module.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm import decontaminate, mixing, sharding, simhash, toxicity
-from marquee.llm.common import cut_lineage, keep_first_of_repeats
+from marquee.llm.common import cut_lineage, unused
 from marquee.session import scratch_path
 from marquee.sources.tables import read_table
 
@@ -30,17 +30,20 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group: the smallest id, then the smallest text hash.
 
-    Rows of the same id and text are one document: one of them stays.
+    Rows of the same id and text are one document: one of them stays. The texts
+    are shuffled once, for the join; dropping repeats needs no other exchange.
     """
+    names = [unused(docs, n) for n in ("kept_id", "kept_null", "kept_key")]
+
+    def keys(doc_id: Column, text_key: Column) -> dict[str, Column]:
+        return dict(zip(names, (F.coalesce(doc_id, F.lit(0)), doc_id.isNull(), text_key)))
+
     rows = simhash.simhash_groups(docs, shingle=4, max_bits=4, seed=42)
-    kept = (rows.groupBy("component").agg(
-        F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key")).alias("first"))
-        .select(F.col("first.id").alias("kept_id"), F.col("first.text_key").alias("kept_key")))
-    kept = cut_lineage(kept.distinct())
-    text_key = F.xxhash64(F.col("text").cast("string"))
-    out = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (text_key == F.col("kept_key")),
-                    "left_semi")
-    return keep_first_of_repeats(out, ["doc_id", "text"])
+    first = (rows.groupBy("component").agg(F.min(F.struct(F.col("id").isNull(), "id", "text_key")).alias("first"))
+             .select(F.col("first.id").alias("id"), F.col("first.text_key").alias("text_key")))
+    kept = cut_lineage(first.withColumns(keys(F.col("id"), F.col("text_key"))).select(*names))
+    keyed = docs.withColumns(keys(F.col("doc_id"), F.xxhash64(F.col("text").cast("string"))))
+    return keyed.join(kept, names, "left_semi").dropDuplicates(names).select(*docs.columns)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
