@@ -7,7 +7,6 @@ functions/  scalar Column helpers (safe casts, sentinels, buckets, rounding)
 operators/  cleaning, joins, aggregates, ranking, column concatenation, profiling
 plans/      the four movie-analytics reports (DataFrame and SQL forms) and the
             bindings of every operator to the benchmark tables
-streaming/  the delimited readers as Structured Streaming sources
 
 Every function takes the caller's ``SparkSession`` (or DataFrames) and returns
 lazy DataFrames; nothing is collected unless the function says so.

@@ -35,25 +35,6 @@ def is_year_text(c: str | Column) -> Column:
     return _col(c).cast("string").rlike(YEAR_PATTERN)
 
 
-def decade_floor(c: str | Column) -> Column:
-    """Start year of the decade, flooring (-5 -> -10), as int."""
-    return F.try_multiply(F.floor(_col(c) / 10), F.lit(10).cast("long")).try_cast("int")
-
-
-def decade_trunc(c: str | Column) -> Column:
-    """Start year of the decade, truncating toward zero (-5 -> 0), as int."""
-    return F.try_multiply((_col(c) / 10).try_cast("long"), F.lit(10).cast("long")).try_cast("int")
-
-
-def round_half_up(c: str | Column, digits: int, guard: int = 6) -> Column:
-    """Round half-up to ``digits`` after first rounding to ``guard`` digits.
-
-    The guard step removes binary noise left by sums and means (a mean of
-    exactly x.xx5 stored as x.xx4999999) so the tie goes up as written.
-    """
-    return F.round(F.round(_col(c), guard), digits)
-
-
 def split_packed(c: str | Column, sep: str = ",") -> Column:
     """Split a packed multi-value text on a literal separator (empty parts kept)."""
     pattern = "".join(ch if ch.isalnum() else "\\" + ch for ch in sep)

@@ -1,5 +1,6 @@
 """DataFrame operators: cleaning, joins, aggregates, ranking, concatenation, profiling."""
 
+from marquee.operators import sql_forms
 from marquee.operators.aggregates import (avg_by_key, avg_by_packed_key, bucket_avg, bucket_expr,
                                           score_by_label, score_from_partials, score_partials,
                                           count_by_key, era_change, explode_packed, group_stats,
@@ -17,6 +18,6 @@ __all__ = [
     "score_partials", "two_source_counts", "all_of",
     "cast_columns", "drop_nulls", "drop_present", "first_wins", "keep_matching",
     "nullify_sentinels", "rename_columns", "concat_columns", "positional_index",
-    "full_outer_counts", "join_on", "table_profile", "rank_within",
+    "sql_forms", "full_outer_counts", "join_on", "table_profile", "rank_within",
     "top_k", "top_n_per_group", "value_ranks",
 ]

@@ -4,9 +4,9 @@ Every aggregate here (count, sum, avg, conditional avg) is algebraic, so Spark
 runs it as partial aggregation before the shuffle and final aggregation after
 it: a hot group key is collapsed to one row per map task before it is sent
 anywhere, and the shuffle carries at most (#groups x #map tasks) rows.
-Reports that join a fact table first reduce it the same way before the join
-(``avg_by_key``, ``avg_by_packed_key``, ``score_by_label``), so a join key
-holding a large share of the rows reaches the join as a few rows.
+``avg_by_packed_key`` and ``score_by_label`` also reduce the fact rows per join
+key before the join; ``avg_by_key`` cannot without a second exchange of them
+(its groups are not the join key) and leaves a hot key to the skew-join split.
 """
 
 from __future__ import annotations
@@ -62,21 +62,14 @@ def avg_by_key(parent: DataFrame, child: DataFrame, on: str | Sequence[tuple[str
     the join were materialised; NULL values are ignored and a group of only
     NULLs gets NULL. Sorted by group ascending.
 
-    Plan: child rows are first reduced to a row count per (join key, group)
-    -- partial aggregation in each map task, so a join key holding a large
-    share of the rows arrives as a handful of rows -- and the mean is the
-    count-weighted mean over the joined parents.
+    Plan: child rows are exchanged once, for the join; the mean is made by
+    partial aggregation right above it, so only one row per group and task is
+    shuffled after. A join key that holds a large share of the rows is split by
+    adaptive execution's skew join.
     """
-    child_keys = _keys_of(on, 1)
-    weights = child.groupBy(*child_keys, group).agg(F.count(F.lit(1)).alias("_w"))
-    joined = parent.join(weights, _join_cond(parent, weights, on), "inner")
-    v, w = F.col(value), F.col("_w")
-    if not dict(parent.dtypes).get(value, "").startswith("decimal"):
-        # Sum value x count in double, as avg() does: float * count would round
-        # to float, and int * count could overflow a bigint sum.
-        v = v.cast("double")
-    mean = F.try_divide(F.sum(v * w), F.sum(F.when(v.isNotNull(), w)))
-    return joined.groupBy(group).agg(mean.alias(out)).orderBy(group)
+    pairs = _keys_of(on, 1)
+    joined = parent.join(child.select(*dict.fromkeys([*pairs, group])), _join_cond(parent, child, on), "inner")
+    return joined.groupBy(group).agg(F.avg(value).alias(out)).orderBy(group)
 
 
 def explode_packed(df: DataFrame, packed: str, sep: str, as_name: str) -> DataFrame:
@@ -169,10 +162,10 @@ def score_by_group(df: DataFrame, keys: Sequence[str], rating: str, weight: str,
     The score is a product of two aggregates, not a sum of products.
     """
     keys = _keys(keys)
-    total = F.sum(weight)
-    mean = F.avg(rating)
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name), mean.alias(avg_name),
-                                 total.alias(total_name), (total * mean).alias(score_name))
+    total, rated = F.sum(weight), F.count(rating)
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name), F.avg(rating).alias(avg_name),
+                                 total.alias(total_name),
+                                 F.try_divide(total * F.sum(rating), rated).alias(score_name))
 
 
 # Mergeable partial state of ``score_by_group``: rows, sum and count of the
@@ -180,27 +173,33 @@ def score_by_group(df: DataFrame, keys: Sequence[str], rating: str, weight: str,
 _P_ROWS, _P_RSUM, _P_RCNT, _P_WSUM = "_p_rows", "_p_rating_sum", "_p_rating_n", "_p_weight_sum"
 
 
-def score_partials(df: DataFrame, keys: Sequence[str], rating: str, weight: str) -> DataFrame:
-    """Per-key partial state from which ``score_from_partials`` finishes the score."""
-    return df.groupBy(*_keys(keys)).agg(F.count(F.lit(1)).alias(_P_ROWS),
-                                        F.sum(rating).alias(_P_RSUM),
-                                        F.count(rating).alias(_P_RCNT),
-                                        F.sum(weight).alias(_P_WSUM))
+def score_partials(df: DataFrame, keys: Sequence[str], rating: str, weight: str,
+                   times: str | None = None) -> DataFrame:
+    """Per-key partial state from which ``score_from_partials`` finishes the score.
+
+    ``times``: a column saying how many equal rows a row stands for.
+    """
+    n = F.col(times) if times else F.lit(1)
+    rated = F.when(F.col(rating).isNotNull(), n)
+    return df.groupBy(*_keys(keys)).agg(F.sum(n).cast("bigint").alias(_P_ROWS),
+                                        F.sum(F.col(rating) * n).alias(_P_RSUM),
+                                        F.coalesce(F.sum(rated), F.lit(0)).cast("bigint").alias(_P_RCNT),
+                                        F.sum(F.col(weight) * n).alias(_P_WSUM))
 
 
 def score_from_partials(df: DataFrame, keys: Sequence[str], count_name: str = "row_count",
                         avg_name: str = "avg_rating", total_name: str = "total_weight",
                         score_name: str = "score") -> DataFrame:
     """Combine partial states per key into the columns of ``score_by_group``."""
-    mean = F.try_divide(F.sum(_P_RSUM), F.sum(_P_RCNT))
-    total = F.sum(_P_WSUM)
-    return df.groupBy(*_keys(keys)).agg(F.sum(_P_ROWS).alias(count_name), mean.alias(avg_name),
-                                        total.alias(total_name), (total * mean).alias(score_name))
+    rating, rated, total = F.sum(_P_RSUM), F.sum(_P_RCNT), F.sum(_P_WSUM)
+    return df.groupBy(*_keys(keys)).agg(F.sum(_P_ROWS).alias(count_name),
+                                        F.try_divide(rating, rated).alias(avg_name), total.alias(total_name),
+                                        F.try_divide(total * rating, rated).alias(score_name))
 
 
 def score_by_label(df: DataFrame, group: str, id_col: str, labels: DataFrame, label_key: str,
                    label: str, rating: str, weight: str, label_name: str | None = None,
-                   count_name: str = "row_count", avg_name: str = "avg_rating",
+                   times: str | None = None, count_name: str = "row_count", avg_name: str = "avg_rating",
                    total_name: str = "total_weight", score_name: str = "score") -> DataFrame:
     """``score_by_group`` of ``df JOIN labels ON id_col = label_key`` by (group, label).
 
@@ -210,7 +209,7 @@ def score_by_label(df: DataFrame, group: str, id_col: str, labels: DataFrame, la
     combined per (group, label), so ids sharing a label still form one group.
     """
     label_name = label_name or label
-    partial = score_partials(df, [group, id_col], rating, weight)
+    partial = score_partials(df, [group, id_col], rating, weight, times)
     named = partial.join(labels.select(F.col(label_key).alias("_label_key"),
                                        F.col(label).alias(label_name)),
                          F.col(id_col) == F.col("_label_key"), "inner")

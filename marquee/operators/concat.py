@@ -2,12 +2,14 @@
 
 Row i of every input lands on output row i; shorter inputs are padded with
 NULLs, and when inputs share a column name the first input's column wins.
-Position is defined by an explicit sort order per input (file order is not a
-stable notion once a file is split across tasks).
+Position is a row's place in the input: for files, by file path, then by the
+split's place in the file, then by the row's place in its split; for any other
+DataFrame, by partition and place in it. An explicit sort order per input
+replaces it.
 
 Positions are computed without moving rows through Python or into one task:
-the input is range-partitioned and sorted by its order keys (its own row id
-breaks ties, so even a key shared by many rows is split), each row is
+the input is range-partitioned and sorted by its order keys (the place in the
+input breaks ties, so even a key shared by many rows is split), each row is
 tagged with its partition and its place inside the partition
 (``monotonically_increasing_id`` keeps the partition id in the upper 31 bits
 and the record number in the lower 33), the tagged table is checkpointed so
@@ -23,6 +25,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
@@ -33,16 +36,30 @@ from marquee.session import checkpoint_dir
 POSITION = "_position"
 
 
-def positional_index(df: DataFrame, order_by: Sequence[str | Column],
+def _input_place(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``df`` with columns that order it as its input: file, split in the file, row in the split.
+
+    Rows of one split are read one after another by one task, so the running
+    id orders them, however Spark packs splits into tasks.
+    """
+    row = F.monotonically_increasing_id().alias("_in")
+    try:
+        return df.select("*", F.col("_metadata.file_path").alias("_file"),
+                         F.col("_metadata.file_block_start").alias("_split"), row), ["_file", "_split", "_in"]
+    except AnalysisException:  # not read from files
+        return df.select("*", row), ["_in"]
+
+
+def positional_index(df: DataFrame, order_by: Sequence[str | Column] | None = None,
                      index_col: str = POSITION) -> DataFrame:
-    """``df`` plus a 0-based, gap-free ``index_col`` following ``order_by``."""
+    """``df`` plus a 0-based, gap-free ``index_col`` following ``order_by`` (default: input order)."""
     checkpoint_dir(df.sparkSession)
-    # The input's own row id breaks ties last: the sort key becomes unique, so
+    # The place in the input breaks ties last: the sort key becomes unique, so
     # the range partitioner can split a key shared by many rows (copies), and
     # tied rows keep their input order.
-    tagged = (df.withColumn("_in", F.monotonically_increasing_id())
-              .orderBy(*order_by, "_in")
-              .select("*", F.spark_partition_id().alias("_part"),
+    placed, place = _input_place(df)
+    tagged = (placed.orderBy(*(order_by or ()), *place)
+              .select(*[F.col(f"`{c}`") for c in df.columns], F.spark_partition_id().alias("_part"),
                       F.monotonically_increasing_id().alias("_mid"))
               .checkpoint(eager=True))
     sizes = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
@@ -54,10 +71,15 @@ def positional_index(df: DataFrame, order_by: Sequence[str | Column],
             .select(*[F.col(c) for c in df.columns], (F.col("_start") + local).alias(index_col)))
 
 
-def concat_columns(dfs: Sequence[DataFrame], order_by: Sequence[Sequence[str | Column]]) -> DataFrame:
-    """Concatenate tables side by side by row position (see module doc)."""
+def concat_columns(dfs: Sequence[DataFrame],
+                   order_by: Sequence[Sequence[str | Column] | None] | None = None) -> DataFrame:
+    """Concatenate tables side by side by row position (see module doc).
+
+    ``order_by``: a sort order per input; None (for one or for all) keeps input order.
+    """
     if not dfs:
         raise ValueError("nothing to concatenate")
+    order_by = [None] * len(dfs) if order_by is None else order_by
     if len(order_by) != len(dfs):
         raise ValueError("one sort order per input is required")
     kept = first_wins(d.columns for d in dfs)

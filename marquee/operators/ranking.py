@@ -1,30 +1,22 @@
 """Ranking: top-N per group with ties, and global top-k.
 
-``top_n_per_group`` keeps rows whose ``rank()`` within their group is <= n
-(ties share a rank, gaps follow, so a group can return more than n rows).
-
-Default strategy ("join") never sorts a whole group in one task, however
-many rows tie:
-
-1. the n best *rows* of each group (``row_number() <= n``, ties broken
-   arbitrarily) -- Spark plans this as a partial ``WindowGroupLimit`` in
-   every map task, so at most n rows per group per task are shuffled, even
-   when a third of all rows share a group's top value;
-2. a row qualifies for rank <= n exactly when its value is at least the
-   n-th best row value of its group, and every row that beats such a value
-   is among those n rows; so ``rank()`` computed over the n best rows is the
-   true rank of each value that appears there;
-3. that (group, value, rank) table -- at most n rows per group -- is
-   written to the checkpoint folder and joined back to the rows on
-   (group, value): broadcast when its row count is within
-   ``broadcast_rows``, otherwise a shuffle join, where AQE splits a
-   (group, value) key that holds a large share of the rows.
-
-Strategy "window" is the textbook plan: ``rank().over(partitionBy(group))``
-then a filter, which Spark runs with a partial ``WindowGroupLimit``. It
-reads the data once instead of twice, but the limit keeps all tied rows, so
-a group whose top value is shared by a huge number of rows is sorted in a
-single task.
+``rank()`` gives tied rows one rank and leaves gaps after them, so a group can
+return more than n rows. A textbook window sorts a whole group in one task, and
+all rows that tie with it; both forms here work on values instead of rows:
+
+``top_n_per_group``  ranks come from the n best *rows* of each group
+    (``row_number() <= n``, planned as a partial ``WindowGroupLimit`` in every
+    map task: at most n rows per group and task are shuffled, however many
+    tie). A row qualifies exactly when its value is at least the n-th best
+    row's, and every row that beats such a value is among those n, so ranks
+    within them are the true ranks. At most n rows a group are joined back.
+``rank_within``  every row's rank, as one more than the rows of its group with
+    a better value: rows are counted per (group, value) with partial
+    aggregation, the window adds the counts up over distinct values.
+
+Both are lazy: no job runs before the result is asked for, and the size of the
+joined side decides the join at run time (adaptive execution broadcasts a small
+one and splits a (group, value) key that holds a large share of the rows).
 """
 
 from __future__ import annotations
@@ -34,10 +26,6 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.session import checkpoint_dir
-
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
 
 def _ordering(value: str, descending: bool) -> Column:
     c = F.col(value)
@@ -45,11 +33,20 @@ def _ordering(value: str, descending: bool) -> Column:
     return c.desc_nulls_last() if descending else c.asc_nulls_first()
 
 
+def _join_ranks(df: DataFrame, ranks: DataFrame, group: str, value: str, rank_col: str) -> DataFrame:
+    side = ranks.toDF("_g", "_v", rank_col)
+    cond = df[group].eqNullSafe(side["_g"]) & df[value].eqNullSafe(side["_v"])
+    return df.join(side, cond, "inner").drop("_g", "_v")
+
+
 def rank_within(df: DataFrame, group: str, value: str, descending: bool = True,
                 rank_col: str = "rank") -> DataFrame:
     """Add ``rank()`` of ``value`` within ``group`` (ties share a rank, then gaps)."""
-    w = Window.partitionBy(group).orderBy(_ordering(value, descending))
-    return df.withColumn(rank_col, F.rank().over(w))
+    counts = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
+    above = (Window.partitionBy(group).orderBy(_ordering(value, descending))
+             .rowsBetween(Window.unboundedPreceding, -1))
+    rank = F.coalesce(F.sum("_n").over(above), F.lit(0)) + 1
+    return _join_ranks(df, counts.select(group, value, rank.cast("int").alias(rank_col)), group, value, rank_col)
 
 
 def value_ranks(df: DataFrame, group: str, value: str, n: int, descending: bool = True,
@@ -66,23 +63,9 @@ def value_ranks(df: DataFrame, group: str, value: str, n: int, descending: bool
 
 
 def top_n_per_group(df: DataFrame, group: str, value: str, n: int, descending: bool = True,
-                    rank_col: str = "rank", strategy: str = "join",
-                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    rank_col: str = "rank") -> DataFrame:
     """Rows with ``rank() <= n`` of ``value`` within ``group``, plus the rank column."""
-    if strategy == "window":
-        return rank_within(df, group, value, descending, rank_col).filter(F.col(rank_col) <= n)
-    if strategy != "join":
-        raise ValueError(f"unknown strategy {strategy!r}")
-    checkpoint_dir(df.sparkSession)
-    ranks = value_ranks(df, group, value, n, descending, rank_col)
-    # Cut lineage: the table is small, and both the size check and the join
-    # below read this one materialised copy.
-    ranks = ranks.checkpoint(eager=True)
-    ranks = ranks.toDF("_g", "_v", rank_col)
-    bounded = ranks.limit(broadcast_rows + 1).count() <= broadcast_rows
-    side = F.broadcast(ranks) if bounded else ranks
-    cond = df[group].eqNullSafe(side["_g"]) & df[value].eqNullSafe(side["_v"])
-    return df.join(side, cond, "inner").drop("_g", "_v")
+    return _join_ranks(df, value_ranks(df, group, value, n, descending, rank_col), group, value, rank_col)
 
 
 def top_k(df: DataFrame, order: Sequence[Column | str], k: int) -> DataFrame:

@@ -81,11 +81,14 @@ def load_letterboxd(spark: SparkSession, directory: str,
 
 
 def load_imdb(spark: SparkSession, directory: str, header: bool = True) -> dict[str, DataFrame]:
-    """basics / ratings / principals / names. ``header=False`` for files without
-    a header line: columns are then named by position from the declared schema."""
+    """basics / ratings / principals / names, typed by header name (column order
+    may vary). ``header=False`` for files without a header line: columns are
+    then named by position from the declared schema."""
     root = directory.rstrip("/")
-    profile = IMDB_TSV if header else IMDB_TSV_HEADERLESS
-    return {key: read_delimited(spark, f"{root}/{fname}", profile, schema=schema)
+    if header:
+        return {key: read_by_header(spark, f"{root}/{fname}", IMDB_TSV, schema)
+                for key, (fname, schema) in IMDB_FILES.items()}
+    return {key: read_delimited(spark, f"{root}/{fname}", IMDB_TSV_HEADERLESS, schema=schema)
             for key, (fname, schema) in IMDB_FILES.items()}
 
 
@@ -191,19 +194,19 @@ def trend_reports(df: DataFrame, top_n: int = 5) -> dict[str, DataFrame]:
 
 def combine_directory(spark: SparkSession, directory: str,
                       order_by: Mapping[str, list[str]] | None = None,
-                      exclude: tuple[str, ...] = ("combined_all_data",)) -> DataFrame:
+                      exclude: tuple[str, ...] = ("combined_all_data",),
+                      schemas: Mapping[str, StructType] | None = None) -> DataFrame:
     """Every CSV of a folder glued side by side by row position.
 
-    Tables are taken in file-name order; each is positioned by its
-    ``order_by`` columns (default: its first column). From ``movies`` the
+    Tables are taken in file-name order; a table's rows keep their place in its
+    file unless ``order_by`` names columns to sort it by. From ``movies`` the
     description, tagline and minute columns are dropped; a repeated column
     name keeps the first table's column; shorter tables are NULL-padded.
+    ``schemas`` spares the inference pass over the tables it names.
     """
-    tables = read_directory(spark, directory, RFC4180_CSV, exclude=exclude)
+    tables = read_directory(spark, directory, RFC4180_CSV, exclude=exclude, schemas=schemas)
     order_by = order_by or {}
-    names = list(tables)
-    return concat_columns([tables[n] for n in names],
-                          [order_by.get(n, [tables[n].columns[0]]) for n in names])
+    return concat_columns(list(tables.values()), [order_by.get(n) for n in tables])
 
 
 def write_combined(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -214,30 +217,23 @@ def write_combined(df: DataFrame, path: str, mode: str = "errorifexists") -> Non
 
 def actor_credits(movies: DataFrame, genres: DataFrame, basics: DataFrame, ratings: DataFrame,
                   principals: DataFrame, min_rating: float = 4.0) -> DataFrame:
-    """genre, nconst, averageRating, numVotes per (film, genre, principal credit).
+    """genre, nconst, averageRating, numVotes, credits per (film, title, genre, person).
 
-    Films rated > min_rating are matched to IMDb titles on name AND year,
-    then to ratings and principals (every category), and finally to every
-    genre of the film: a person listed twice on a title, or a film with
-    several genres, contributes several rows.
+    Films rated > min_rating meet IMDb titles on name AND year, then ratings
+    and principals (every category). A person's credits on a title are counted
+    before the principals are joined, so a film's genres multiply one row a
+    person; a film with several genres contributes a row for each. Films are
+    the shared side of two chains, titles and genres, that meet at the end.
     """
-    films = (movies.filter(F.col("rating") > min_rating)
-             .select(F.col("id").alias("movie_id"), F.col("name").alias("movie_name"),
-                     to_int("date").alias("release_year")))
-    film_genres = (films.join(genres.select(F.col("id").alias("genre_movie_id"),
-                                            F.col("genre").alias("movie_genre")),
-                              F.col("movie_id") == F.col("genre_movie_id"), "inner")
-                   .select(F.col("movie_id").alias("mg_movie_id"), "movie_genre"))
-    titles = basics.select(F.col("tconst").alias("basics_tconst"), "primaryTitle", "startYear")
-    details = films.join(titles, (F.col("movie_name") == F.col("primaryTitle"))
-                         & (F.col("release_year") == F.col("startYear")), "inner")
-    rated = details.join(ratings.select(F.col("tconst").alias("ratings_tconst"), "averageRating",
-                                        "numVotes"),
-                         F.col("basics_tconst") == F.col("ratings_tconst"), "inner")
-    credited = rated.join(principals.select(F.col("tconst").alias("principals_tconst"), "nconst"),
-                          F.col("ratings_tconst") == F.col("principals_tconst"), "inner")
-    return (credited.join(film_genres, F.col("movie_id") == F.col("mg_movie_id"), "inner")
-            .select(F.col("movie_genre").alias("genre"), "nconst", "averageRating", "numVotes"))
+    films = movies.where(F.col("rating") > min_rating).select(
+        "id", F.col("name").alias("primaryTitle"), to_int("date").alias("startYear"))
+    credits = principals.groupBy("tconst", "nconst").agg(F.count(F.lit(1)).alias("credits"))
+    people = (films.join(basics.select("tconst", "primaryTitle", "startYear"), ["primaryTitle", "startYear"])
+              .select("id", "tconst")
+              .join(ratings, "tconst").join(credits, "tconst")
+              .select("id", "nconst", "averageRating", "numVotes", "credits"))
+    film_genres = films.select("id").join(genres, "id")
+    return people.join(film_genres, "id").select("genre", "nconst", "averageRating", "numVotes", "credits")
 
 
 def actor_influence(movies: DataFrame, genres: DataFrame, basics: DataFrame, ratings: DataFrame,
@@ -245,13 +241,12 @@ def actor_influence(movies: DataFrame, genres: DataFrame, basics: DataFrame, rat
     """genre, actor_name, movie_count, avg_rating, total_votes, influence_score
     (fixed output names); sorted by influence_score descending.
 
-    Credits are reduced per (genre, person id) before the names table is
-    joined, then combined per (genre, name): people sharing a name form one
+    Credits are reduced per (genre, person id) before the names are joined, then combined per (genre, name): people sharing a name form one
     group, as when grouping by the name directly.
     """
     credits = actor_credits(movies, genres, basics, ratings, principals, min_rating)
     return (score_by_label(credits, "genre", "nconst", names, "nconst", "primaryName",
-                           rating="averageRating", weight="numVotes", label_name="actor_name",
+                           rating="averageRating", weight="numVotes", times="credits", label_name="actor_name",
                            count_name="movie_count", avg_name="avg_rating",
                            total_name="total_votes", score_name="influence_score")
             .orderBy(F.col("influence_score").desc()))

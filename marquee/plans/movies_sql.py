@@ -1,12 +1,9 @@
 """The four film reports as Spark SQL text (same inputs as ``movies``).
 
-Tables are bound per call (``spark.sql(text, movies=df, ...)``), so nothing
-leaks into the session catalog; ``register_inputs`` exists for callers who
-want named views. Each query is written in the shape that scales: per-side
-counts merged by one aggregation instead of a full outer join, means taken
-from pre-reduced sums, ranks taken from each group's best rows, and names
-looked up after aggregation. Tests assert that they agree with the
-DataFrame forms and with hand-computed results.
+Every report is one of the builders of ``operators.sql_forms`` over the film
+tables; the benchmark twins bind the same builders to other tables. Tables are
+bound per call (``spark.sql(text, movies=df, ...)``), so nothing leaks into the
+session catalog; ``register_inputs`` exists for callers who want named views.
 
 Where text meets a number the queries use TRY_CAST, so a malformed value is
 NULL instead of an ANSI cast failure.
@@ -18,39 +15,20 @@ from typing import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marquee.functions.scalar import YEAR_PATTERN
+from marquee.operators import sql_forms
 from marquee.plans.movies import EXCLUDED_GENRE
 from marquee.sources.tables import register_views
 
-# Year counts from both sources merged by one aggregation: each source row
-# contributes 1 to its own column, so a year seen by one source only still
-# appears, with 0 for the other.
-HIGH_RATED_BY_YEAR = """
-WITH lb_years AS (
-    SELECT TRY_CAST(date AS INT) AS yr
-    FROM {movies}
-    WHERE id IS NOT NULL AND name IS NOT NULL
-      AND rating >= 4
-      AND date RLIKE '^[0-9]{{4}}$'
-),
-imdb_years AS (
-    SELECT b.startYear AS yr
-    FROM {basics} b
-    JOIN {ratings} r ON r.tconst = b.tconst
-    WHERE b.titleType = 'movie'
-      AND b.primaryTitle IS NOT NULL AND b.startYear IS NOT NULL
-      AND r.averageRating >= 8 AND r.numVotes >= 2100
-),
-tagged AS (
-    SELECT yr, 1 AS from_lb, 0 AS from_imdb FROM lb_years
-    UNION ALL
-    SELECT yr, 0, 1 FROM imdb_years
-)
-SELECT yr AS year,
-       CAST(SUM(from_lb) AS BIGINT) AS count_letterboxd,
-       CAST(SUM(from_imdb) AS BIGINT) AS count_imdb
-FROM tagged
-GROUP BY yr
-ORDER BY year DESC"""
+_YEAR = YEAR_PATTERN.replace("{", "{{").replace("}", "}}")
+
+HIGH_RATED_BY_YEAR = sql_forms.two_source_counts_sql(
+    f"""(SELECT TRY_CAST(date AS INT) AS year FROM {{movies}}
+               WHERE id IS NOT NULL AND name IS NOT NULL AND rating >= 4 AND date RLIKE '{_YEAR}')""",
+    """(SELECT startYear AS year FROM {basics} JOIN {ratings} USING (tconst)
+               WHERE titleType = 'movie' AND primaryTitle IS NOT NULL AND startYear IS NOT NULL
+                 AND averageRating >= 8 AND numVotes >= 2100)""",
+    "year", "count_letterboxd", "count_imdb")
 
 
 def high_rated_by_year_sql(spark: SparkSession, movies: DataFrame, basics: DataFrame,
@@ -60,132 +38,51 @@ def high_rated_by_year_sql(spark: SparkSession, movies: DataFrame, basics: DataF
 
 
 def avg_rating_by_genre_sql(spark: SparkSession, movies: DataFrame, genres: DataFrame) -> DataFrame:
-    """Genre rows are reduced to a weight per (film, genre) before meeting the
-    films; the mean is weighted by it (the same as averaging every joined row)."""
-    return spark.sql("""
-        WITH genre_weight AS (
-            SELECT id AS film, genre, COUNT(*) AS w
-            FROM {genres}
-            GROUP BY id, genre
-        ),
-        long_films AS (
-            SELECT id AS film, rating FROM {movies} WHERE minute >= 60
-        )
-        SELECT gw.genre,
-               try_divide(SUM(lf.rating * gw.w),
-                          SUM(CASE WHEN lf.rating IS NOT NULL THEN gw.w END)) AS avg_rating
-        FROM long_films lf
-        JOIN genre_weight gw ON gw.film = lf.film
-        GROUP BY gw.genre
-        ORDER BY gw.genre""", movies=movies, genres=genres)
+    text = sql_forms.avg_by_key_sql("(SELECT id, rating FROM {movies} WHERE minute >= 60)", "{genres}", "id",
+                                    "genre", "rating", "avg_rating")
+    return spark.sql(text, movies=movies, genres=genres)
 
 
 def avg_rating_by_packed_genre_sql(spark: SparkSession, basics: DataFrame,
                                    ratings: DataFrame) -> DataFrame:
-    return spark.sql(f"""
-        SELECT g.genre, AVG(r.averageRating) AS avg_rating
-        FROM {{basics}} b
-        JOIN {{ratings}} r ON r.tconst = b.tconst
-        LATERAL VIEW explode(split(b.genres, ',')) g AS genre
-        WHERE b.runtimeMinutes >= 60 AND g.genre <> '{EXCLUDED_GENRE}'
-        GROUP BY g.genre
-        ORDER BY g.genre""", basics=basics, ratings=ratings)
+    text = sql_forms.avg_by_packed_key_sql("(SELECT tconst, genres FROM {basics} WHERE runtimeMinutes >= 60)",
+                                           "{ratings}", "tconst", "genres", "averageRating", ",", EXCLUDED_GENRE,
+                                           "genre", "avg_rating")
+    return spark.sql(text, basics=basics, ratings=ratings)
 
 
 def trend_reports_sql(spark: SparkSession, movies: DataFrame) -> dict[str, DataFrame]:
     """The four trend reports as SQL over a cleaned combined table.
 
-    The decade here floors (``FLOOR(year / 10) * 10``, bigint); the DataFrame
-    form truncates toward zero (int). They differ only for negative years.
+    The decade here floors (bigint); the DataFrame form truncates toward zero
+    (int). They differ only for negative years.
     """
-    return {
-        "yearly_genre_ratings_sql": spark.sql("""
-            SELECT year, genre, AVG(rating) AS avg_rating, COUNT(1) AS movie_count
-            FROM {movies}
-            GROUP BY ALL
-            ORDER BY year, avg_rating DESC""", movies=movies),
-        # Ranks from each year's 5 best rows (capped even when many tie), then
-        # every row holding one of those values.
-        "top_movies_per_year_sql": spark.sql("""
-            WITH best AS (
-                SELECT year, rating
-                FROM (SELECT year, rating,
-                             ROW_NUMBER() OVER (PARTITION BY year ORDER BY rating DESC) AS pos
-                      FROM {movies})
-                WHERE pos <= 5
-            ),
-            value_rank AS (
-                SELECT DISTINCT year, rating,
-                       RANK() OVER (PARTITION BY year ORDER BY rating DESC) AS rank
-                FROM best
-            )
-            SELECT m.year, m.title, m.genre, m.rating, v.rank
-            FROM {movies} m
-            JOIN value_rank v ON m.year <=> v.year AND m.rating <=> v.rating
-            ORDER BY m.year, v.rank""", movies=movies),
-        "decade_avg_ratings_sql": spark.sql("""
-            SELECT FLOOR(year / 10) * 10 AS decade, AVG(rating) AS avg_rating_decade
-            FROM {movies}
-            GROUP BY 1
-            ORDER BY 1""", movies=movies),
-        "genre_trends_sql": spark.sql("""
-            SELECT genre, avg_pre_2000, avg_post_2000,
-                   avg_post_2000 - avg_pre_2000 AS rating_change
-            FROM (
-                SELECT genre,
-                       AVG(rating) FILTER (WHERE year < 2000) AS avg_pre_2000,
-                       AVG(rating) FILTER (WHERE year >= 2000) AS avg_post_2000
-                FROM {movies}
-                WHERE genre IS NOT NULL
-                GROUP BY genre
-            ) eras
-            WHERE avg_pre_2000 IS NOT NULL AND avg_post_2000 IS NOT NULL
-            ORDER BY rating_change DESC""", movies=movies),
+    texts = {
+        "yearly_genre_ratings_sql": sql_forms.group_stats_sql(
+            "{movies}", ["year", "genre"], "rating", "avg_rating", "movie_count"),
+        "top_movies_per_year_sql": sql_forms.top_n_per_group_sql(
+            "{movies}", ["year", "title", "genre", "rating"], "year", "rating", 5, "rank"),
+        "decade_avg_ratings_sql": sql_forms.bucket_avg_sql(
+            "{movies}", "year", "rating", 10, "decade", "avg_rating_decade"),
+        "genre_trends_sql": sql_forms.era_change_sql(
+            "{movies}", "genre", "year", 2000, "rating", "avg_pre_2000", "avg_post_2000", "rating_change"),
     }
-
-
-# Influence per (genre, person name): credits are reduced per (genre, person
-# id) before the names are looked up, then combined per name.
-ACTOR_INFLUENCE = """
-WITH picked AS (
-    SELECT id AS film_id, name AS film_name, TRY_CAST(date AS INT) AS film_year
-    FROM {movies}
-    WHERE rating > 4.0
-),
-film_genre AS (
-    SELECT p.film_id, g.genre
-    FROM picked p
-    JOIN {genres} g ON g.id = p.film_id
-),
-credit AS (
-    SELECT p.film_id, r.averageRating AS score, r.numVotes AS votes, pr.nconst
-    FROM picked p
-    JOIN {basics} t ON t.primaryTitle = p.film_name AND t.startYear = p.film_year
-    JOIN {ratings} r ON r.tconst = t.tconst
-    JOIN {principals} pr ON pr.tconst = t.tconst
-),
-person_partial AS (
-    SELECT fg.genre, c.nconst,
-           COUNT(*) AS n, SUM(c.score) AS score_sum, COUNT(c.score) AS score_n,
-           SUM(c.votes) AS votes_sum
-    FROM credit c
-    JOIN film_genre fg ON fg.film_id = c.film_id
-    GROUP BY fg.genre, c.nconst
-),
-named AS (
-    SELECT pp.*, nb.primaryName AS actor_name
-    FROM person_partial pp
-    JOIN {names} nb ON nb.nconst = pp.nconst
-)
-SELECT genre, actor_name,
-       SUM(n) AS movie_count,
-       ROUND(ROUND(try_divide(SUM(score_sum), SUM(score_n)), 6), 2) AS avg_rating,
-       SUM(votes_sum) AS total_votes,
-       ROUND(ROUND(SUM(votes_sum) * try_divide(SUM(score_sum), SUM(score_n)), 6), 2)
-           AS influence_score
-FROM named
-GROUP BY genre, actor_name
-ORDER BY influence_score DESC"""
+    return {name: spark.sql(text, movies=movies) for name, text in texts.items()}
+
+
+# Credits per (film, person), then per genre of the film: see ``actor_credits``.
+_CREDITS = """(
+            SELECT genre, nconst, averageRating, numVotes, credits
+            FROM (SELECT id, name AS primaryTitle, TRY_CAST(date AS INT) AS startYear FROM {movies} WHERE rating > 4.0)
+                 JOIN (SELECT tconst, primaryTitle, startYear FROM {basics}) USING (primaryTitle, startYear)
+                 JOIN {ratings} USING (tconst)
+                 JOIN (SELECT tconst, nconst, COUNT(*) AS credits FROM {principals} GROUP BY tconst, nconst)
+                      USING (tconst)
+                 JOIN {genres} USING (id))"""
+
+ACTOR_INFLUENCE = sql_forms.score_by_label_sql(
+    _CREDITS, "genre", "nconst", "{names}", "nconst", "primaryName", "averageRating", "numVotes", "actor_name",
+    "movie_count", "avg_rating", "total_votes", "influence_score", digits=2, times="credits")
 
 
 def actor_influence_sql(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -1,83 +1,63 @@
 """Load every delimited file of a directory as its own table.
 
-Listing goes through Spark's ``binaryFile`` source with only the ``path``
-column selected, so file contents are not read and the listing works on any
-filesystem Spark can reach (HDFS, object stores, local). A directory entry is
+Listing goes through the Hadoop file system of the path, so it works wherever
+Spark can read (HDFS, object stores, local) and starts no job. A directory entry is
 either a plain file (``movies.csv``) or a folder of part files written by
 Spark (``movies.csv/part-*.csv``); both load as one table named by the entry.
 """
 
 from __future__ import annotations
 
-import os
+import warnings
 from concurrent.futures import ThreadPoolExecutor
 from typing import Mapping
-from urllib.parse import urlparse
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 from pyspark.util import inheritable_thread_target
 
-from marquee.sources.delimited import PLAIN_CSV, Profile, read_delimited
+from marquee.sources.delimited import PLAIN_CSV, Profile, read_by_header, read_delimited
 
 # Columns the column-concatenation prep drops from the films file.
 # Fixed values (must match the reports' expected input):
 MOVIES_DROPPED_COLUMNS = ("description", "tagline", "minute")
 
 
-def _path_part(uri: str) -> str:
-    """``file:/a/b`` or ``hdfs://nn/a/b`` -> ``/a/b``; plain paths unchanged."""
-    parsed = urlparse(uri)
-    return parsed.path if parsed.scheme else uri
-
-
 def list_entries(spark: SparkSession, directory: str, suffix: str = ".csv") -> list[tuple[str, str]]:
     """Sorted ``(table_name, path)`` for each top-level entry ending in ``suffix``.
 
     Sorting by name makes the table order, and so column order of any
     positional combination, independent of the filesystem's listing order.
+    Only the top level is listed: part files of a folder stay on the cluster.
     """
     root = directory.rstrip("/") or directory
-    files = (spark.read.format("binaryFile")
-             .option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", f"*{suffix}")
-             .load(root)
-             .select("path"))
-    # Spark lists fully qualified paths; the caller's root may be relative.
-    root_part = _path_part(root).rstrip("/")
-    if root_part.startswith("/"):
-        prefix, segments = root_part + "/", None
-    else:
-        # Relative: to the working directory for local files, or to a home
-        # directory on a remote filesystem (found as segments in the path).
-        prefix = os.path.abspath(root_part).rstrip("/") + "/"
-        segments = "/" + os.path.normpath(root_part).strip("/") + "/"
-    names: set[str] = set()
-    # One row per file: a listing, bounded by the number of files.
-    for row in files.collect():
-        file_part = _path_part(row["path"])
-        if file_part.startswith(prefix):
-            rest = file_part[len(prefix):]
-        elif segments is not None and segments in file_part:
-            rest = file_part[file_part.find(segments) + len(segments):]
-        else:
-            continue
-        top = rest.split("/", 1)[0]
-        if top.endswith(suffix) and not top.startswith(("_", ".")):
-            names.add(top)
-    return [(top[: -len(suffix)], f"{root}/{top}") for top in sorted(names)]
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    names = sorted(status.getPath().getName() for status in found)
+    return [(n[: -len(suffix)], f"{root}/{n}") for n in names
+            if n.endswith(suffix) and not n.startswith(("_", "."))]
 
 
 def read_directory(spark: SparkSession, directory: str, profile: Profile = PLAIN_CSV,
                    drop_columns: Mapping[str, tuple[str, ...]] | None = None,
                    infer: bool = True,
-                   exclude: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+                   exclude: tuple[str, ...] = (),
+                   schemas: Mapping[str, StructType] | None = None,
+                   skipped: list[tuple[str, str]] | None = None) -> dict[str, DataFrame]:
     """Load each ``*.csv`` entry of ``directory`` into ``{table_name: DataFrame}``.
 
     drop_columns  per-table columns to drop when present (missing ones ignored).
     exclude       table names to skip, e.g. a previous combined output written
                   into the same directory, so a re-run never ingests itself.
-    Files that fail to load are skipped; an error is raised when the directory
-    holds no matching file, or none of them loads.
+    schemas       declared types by table name, bound by header name: such a
+                  table is read without the inference pass over its data.
+    skipped       receives ``(table_name, reason)`` of every file left out.
+
+    A file that Spark cannot understand as a table (an analysis or parse error,
+    or no column at all) is left out with a warning that names it and says why.
+    Anything else, such as a failed job, is raised, as is a directory without a
+    matching or loadable file.
     """
     if drop_columns is None:
         drop_columns = {"movies": MOVIES_DROPPED_COLUMNS}
@@ -85,12 +65,17 @@ def read_directory(spark: SparkSession, directory: str, profile: Profile = PLAIN
     if not entries:
         raise ValueError(f"no CSV files found in {directory}")
 
-    def load(entry: tuple[str, str]) -> DataFrame | None:
+    def load(entry: tuple[str, str]) -> DataFrame | str:
         name, path = entry
         try:
-            df = read_delimited(spark, path, profile, infer=infer)
-        except Exception:  # unreadable file: skip it, keep the others
-            return None
+            if schemas and name in schemas:
+                df = read_by_header(spark, path, profile, schemas[name])
+            else:
+                df = read_delimited(spark, path, profile, infer=infer)
+        except AnalysisException as error:  # ParseException is one too
+            return str(error).splitlines()[0]
+        if not df.columns:
+            return "the file has no column"
         drops = [c for c in drop_columns.get(name, ()) if c in df.columns]
         return df.drop(*drops) if drops else df
 
@@ -99,7 +84,14 @@ def read_directory(spark: SparkSession, directory: str, profile: Profile = PLAIN
     with ThreadPoolExecutor(max_workers=min(8, len(entries))) as pool:
         # Jobs from the pool keep the caller's job group, description and pool.
         loaded = list(pool.map(inheritable_thread_target(spark)(load), entries))
-    tables = {name: df for (name, _), df in zip(entries, loaded) if df is not None}
+    tables: dict[str, DataFrame] = {}
+    for (name, path), result in zip(entries, loaded):
+        if isinstance(result, DataFrame):
+            tables[name] = result
+            continue
+        warnings.warn(f"{path} left out: {result}", stacklevel=2)
+        if skipped is not None:
+            skipped.append((name, result))
     if not tables:
         raise ValueError(f"none of the CSV files in {directory} could be loaded")
     return tables

@@ -24,5 +24,5 @@ def write_then_preview(df: DataFrame, path: str, profile: Profile, n: int = 20,
     Pass ``order_by`` to get the top ``n`` in that order (a top-k, not a sort).
     """
     write_delimited(df, path, profile, mode=mode)
-    back = read_delimited(df.sparkSession, path, profile.with_(multi_line=True), schema=df.schema)
+    back = read_delimited(df.sparkSession, path, profile, schema=df.schema)
     return back.orderBy(*order_by).limit(n) if order_by else back.limit(n)

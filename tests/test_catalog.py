@@ -4,7 +4,8 @@ import duckdb
 import pytest
 
 from conftest import SMALL_SF
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from marquee.plans.catalog import ORACLES, QUERIES
 from marquee.sources.tables import BENCH_TABLES
 from tools.oracle_check import digest
 
@@ -19,14 +20,14 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = queries()[name](spark, SMALL_SF)
+    df = QUERIES[name](spark, SMALL_SF)
     got = [tuple(r) for r in df.collect()]
-    res = duck.execute(oracle_sql()[name])
+    res = duck.execute(ORACLES[name])
     cols = [c[0] for c in res.description]
     want = res.fetchall()
     assert sorted(df.columns) == sorted(cols)
@@ -38,17 +39,16 @@ def test_entry_smoke(spark):
     df = entry(spark)
     assert df.columns == ["segment", "supplier_name", "line_count", "avg_price", "total_size",
                           "influence_score"]
-    assert df.count() >= 0
+    assert df.count() == 49
 
 
-PAIRS = sorted(name[:-3] for name in queries() if name.endswith("_df")
-               and name[:-3] + "_sql" in queries())
+PAIRS = sorted(name[:-3] for name in QUERIES if name.endswith("_df") and name[:-3] + "_sql" in QUERIES)
 
 
 @pytest.mark.parametrize("stem", PAIRS)
 def test_dataframe_and_sql_forms_agree(spark, stem):
-    df_form = queries()[stem + "_df"](spark, SMALL_SF)
-    sql_form = queries()[stem + "_sql"](spark, SMALL_SF)
+    df_form = QUERIES[stem + "_df"](spark, SMALL_SF)
+    sql_form = QUERIES[stem + "_sql"](spark, SMALL_SF)
     assert df_form.columns == sql_form.columns
     assert digest(df_form.columns, [tuple(r) for r in df_form.collect()])[1] == \
         digest(sql_form.columns, [tuple(r) for r in sql_form.collect()])[1]

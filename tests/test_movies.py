@@ -5,6 +5,7 @@ import os
 import pytest
 
 from conftest import FIXTURES, rows
+from marquee.operators import concat_columns
 from marquee.plans import movies as mv
 from marquee.plans import movies_sql as mvs
 
@@ -156,10 +157,50 @@ def test_combine_directory_side_by_side(spark):
     # actors, genres, movies in name order; id and name come from actors (first wins);
     # description, tagline and minute are dropped from movies.
     assert out.columns == ["id", "name", "role", "genre", "date", "rating"]
-    assert rows(out) == [(10, "Ann Actor", "Lead", "Drama", 1999, 4.5),
-                         (11, "Eve Star", "Support", "Comedy", 2001, 4.0),
-                         (12, "Dan Director", "Cameo", None, 1999, 4.2),
+    # Rows keep their place in each file; only movies.csv is not sorted by id.
+    assert rows(out) == [(10, "Ann Actor", "Lead", "Comedy", 1999, 4.2),
+                         (11, "Eve Star", "Support", "Drama", 1999, 4.5),
+                         (12, "Dan Director", "Cameo", None, 2001, 4.0),
                          (13, "Zed", "Extra", None, None, None)]
+    by_id = mv.combine_directory(spark, os.path.join(FIXTURES, "concat_dir"),
+                                 order_by={"genres": ["id"], "movies": ["rating"]})
+    assert [r[3:] for r in rows(by_id)] == [("Drama", 2001, 4.0), ("Comedy", 1999, 4.2), (None, 1999, 4.5),
+                                            (None, None, None)]
+
+
+def test_combine_directory_follows_the_files_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n3,c\n1,a\n2,b\n")
+    (tmp_path / "b.csv").write_text("p,q\n9,q\n8,p\n7,o\n")
+    assert rows(mv.combine_directory(spark, str(tmp_path))) == [(3, "c", 9, "q"), (1, "a", 8, "p"), (2, "b", 7, "o")]
+
+
+def test_file_order_holds_over_many_splits(spark, tmp_path):
+    values = [(i * 7919) % 5000 for i in range(5000)]
+    (tmp_path / "long.csv").write_text("v\n" + "\n".join(map(str, values)) + "\n")
+    keys = {"spark.sql.files.maxPartitionBytes": "1000", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.read.csv(str(tmp_path / "long.csv"), header=True, schema="v int")
+        assert df.rdd.getNumPartitions() > 8
+        assert [r[0] for r in rows(concat_columns([df]))] == values
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", list(mv.IMDB_FILES))
+def test_imdb_files_bind_by_header(spark, imdb, tmp_path, name):
+    file = mv.IMDB_FILES[name][0]
+    for key, (other, _) in mv.IMDB_FILES.items():
+        lines = [line.split("\t") for line in open(os.path.join(FIXTURES, "imdb", other)).read().splitlines()]
+        permuted = [line[::-1] for line in lines] if other == file else lines
+        (tmp_path / other).write_text("\n".join("\t".join(line) for line in permuted) + "\n")
+    columns = imdb[name].columns
+    got = mv.load_imdb(spark, str(tmp_path))[name]
+    assert got.columns == columns[::-1]
+    assert sorted(rows(got.select(*columns)), key=repr) == sorted(rows(imdb[name]), key=repr)
 
 
 def test_combine_directory_output_round_trips(spark, tmp_path):

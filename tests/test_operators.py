@@ -3,11 +3,12 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
-from marquee.functions import decade_floor, decade_trunc, round_half_up, split_packed, to_int
-from marquee.operators import (bucket_avg, concat_columns, first_wins, positional_index,
+from marquee.functions import split_packed, to_int
+from marquee.operators import (bucket_avg, concat_columns, first_wins, positional_index, rank_within,
                                table_profile, top_n_per_group, two_source_counts)
 
 
@@ -20,20 +21,20 @@ def _random_scores(spark, seed, n=400, groups=6, values=5):
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
 @pytest.mark.parametrize("descending", [True, False])
-def test_top_n_join_strategy_equals_window_rank(spark, seed, descending):
+def test_ranks_equal_the_textbook_window(spark, seed, descending):
     df = _random_scores(spark, seed)
-    a = top_n_per_group(df, "grp", "score", 3, descending=descending, strategy="join")
-    b = top_n_per_group(df, "grp", "score", 3, descending=descending, strategy="window")
-    got, want = sorted(rows(a.select("id", "rank"))), sorted(rows(b.select("id", "rank")))
-    assert got == want
-    assert all(1 <= r <= 3 for _, r in got)
+    order = F.col("score").desc_nulls_last() if descending else F.col("score").asc_nulls_first()
+    want = sorted(rows(df.select("id", F.rank().over(Window.partitionBy("grp").orderBy(order)))))
+    assert sorted(rows(rank_within(df, "grp", "score", descending).select("id", "rank"))) == want
+    top = top_n_per_group(df, "grp", "score", 3, descending=descending)
+    assert sorted(rows(top.select("id", "rank"))) == [w for w in want if w[1] <= 3]
 
 
 def test_top_n_keeps_every_tie_of_a_hot_group(spark):
     # One group holds most rows and they all share the top value.
     data = [("hot", 9, i) for i in range(300)] + [("hot", 5, 1000), ("cold", 1, 2000)]
     df = spark.createDataFrame(data, "grp string, score int, id int")
-    out = top_n_per_group(df, "grp", "score", 2, broadcast_rows=0)  # force the shuffle join
+    out = top_n_per_group(df, "grp", "score", 2)
     got = rows(out.groupBy("grp", "rank").count().orderBy("grp", "rank"))
     assert got == [("cold", 1, 1), ("hot", 1, 300)]
 
@@ -48,12 +49,18 @@ def test_bucket_floor_vs_trunc_below_zero(spark):
     df = spark.createDataFrame([(-5, 1.0), (-15, 3.0), (7, 2.0)], "y int, v double")
     assert rows(bucket_avg(df, "y", "v", 10, "floor", "b", "m")) == [(-20, 3.0), (-10, 1.0), (0, 2.0)]
     assert rows(bucket_avg(df, "y", "v", 10, "trunc", "b", "m")) == [(-10, 3.0), (0, 1.5)]
-    assert rows(df.select(decade_floor("y"), decade_trunc("y"))) == [(-10, 0), (-20, -10), (0, 0)]
 
 
-def test_round_half_up_ignores_binary_noise(spark):
-    df = spark.createDataFrame([(1.005,), (2.675,), (0.1 + 0.2,)], "x double")
-    assert [r[0] for r in df.select(round_half_up("x", 2)).collect()] == [1.01, 2.68, 0.3]
+def test_rounding_goes_half_up_once(spark):
+    df = spark.createDataFrame([(1.005,), (2.675,), (0.1 + 0.2,), (3.0149999996,)], "x double")
+    assert [r[0] for r in df.select(F.round("x", 2)).collect()] == [1.01, 2.68, 0.3, 3.01]
+    from marquee.operators import sql_forms
+    text = sql_forms.score_by_label_sql("{t}", "g", "i", "{l}", "k", "n", "r", "w", "label", "c", "a", "t", "s", digits=2)
+    assert text.count("ROUND(") == 2 and "ROUND(ROUND" not in text
+    one = spark.createDataFrame([("g", 1, 3.0149999996, 1)], "g string, i int, r double, w int")
+    names = spark.createDataFrame([(1, "x")], "k int, n string")
+    got = spark.sql(text, t=one, l=names).first()
+    assert (got["a"], got["s"]) == (3.01, 3.01)
 
 
 def test_split_packed_is_literal_and_keeps_empty_parts(spark):

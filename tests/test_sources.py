@@ -92,3 +92,40 @@ def test_directory_ingest_accepts_a_relative_path(spark):
     assert not os.path.isabs(rel)
     assert list(read_directory(spark, rel, RFC4180_CSV)) == ["actors", "genres", "movies"]
     assert list(read_directory(spark, rel + "/", RFC4180_CSV)) == ["actors", "genres", "movies"]
+
+
+def test_directory_names_what_it_leaves_out_and_raises_everything_else(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "empty.csv").write_text("")
+    skipped = []
+    with pytest.warns(UserWarning, match="empty.csv left out"):
+        tables = read_directory(spark, str(tmp_path), skipped=skipped)
+    assert list(tables) == ["a"] and [name for name, _ in skipped] == ["empty"] and skipped[0][1]
+
+    from marquee.sources import directory
+
+    def lost(*args, **kwargs):
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(directory, "read_delimited", lost)
+    with pytest.raises(RuntimeError, match="executor lost"):
+        read_directory(spark, str(tmp_path))
+
+
+def test_declared_schemas_spare_the_inference_job(spark, tmp_path):
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+    (tmp_path / "a.csv").write_text("y,x\nb,1\n")
+    schema = StructType([StructField("x", LongType()), StructField("y", StringType())])
+    table = read_directory(spark, str(tmp_path), schemas={"a": schema})["a"]
+    assert dict(table.dtypes) == {"y": "string", "x": "bigint"} and rows(table) == [("b", 1)]
+
+
+def test_listing_gives_one_entry_a_folder_of_part_files(spark, tmp_path):
+    from marquee.sources.directory import list_entries
+    folder = tmp_path / "big.csv"
+    folder.mkdir()
+    for i in range(30):
+        (folder / f"part-{i:05}.csv").write_text("x\n1\n")
+    (tmp_path / "a.csv").write_text("x\n1\n")
+    (tmp_path / "_hidden.csv").write_text("x\n1\n")
+    assert [name for name, _ in list_entries(spark, str(tmp_path))] == ["a", "big"]
