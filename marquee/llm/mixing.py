@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import WORD_PATTERN, md5_number
+from marquee.llm.common import WORD_PATTERN, cut_lineage, md5_number
 
 # Parameters of the mix: weights of the sources in order, share of all words
 # taken, and the highest multiple of a source (so of a document) that is taken.
@@ -82,18 +82,22 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE,
 
 def mix_plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
              text_col: str = "text", weights=WEIGHTS, share: float = SHARE,
-             most: int = MOST_COPIES, seed: str = SEED) -> DataFrame:
-    """``(row, size, source_size, target, copies)``; ``row`` is the input row as a struct."""
+             most: int = MOST_COPIES, seed: str = SEED, keep: list[str] | None = None) -> DataFrame:
+    """``(row, size, source_size, target, copies)``; ``row`` is the input row as a struct.
+
+    ``keep`` names the columns of ``row`` (all by default): what is not kept is
+    not shuffled. The counts of the cells are computed once and checkpointed.
+    """
     text = F.col(text_col).cast("string")
     size = word_count(text)
     hashed = md5_number(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row"),
                        F.col(source_col).cast("string").alias("source"), size.alias("size"),
                        hashed.alias("hash"), F.xxhash64(text).alias("tie"))
     rows = (rows.withColumn("bin", _size_bin(F.col("size")))
             .withColumn("cell", F.shiftright("hash", 60 - _CELL_BITS)))
-    cells = rows.groupBy("source", "bin", "cell").agg(F.count(F.lit(1)).alias("n"),
-                                                      F.sum("size").alias("words"))
+    cells = cut_lineage(rows.groupBy("source", "bin", "cell").agg(F.count(F.lit(1)).alias("n"),
+                                                                  F.sum("size").alias("words")))
     bins = cells.groupBy("source", "bin").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
     targets = source_targets(bins.groupBy("source").agg(F.sum("words").alias("source_size")),
                              weights, share, most)

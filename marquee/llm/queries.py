@@ -76,7 +76,7 @@ def op9_sharding(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op10_source_mixing(spark: SparkSession, d: str) -> DataFrame:
-    plan = mixing.mix_plan(read_table(spark, d, "documents"))
+    plan = mixing.mix_plan(read_table(spark, d, "documents"), keep=["doc_id"])
     return plan.select("row.doc_id", "size", "source_size", "target", "copies",
                        (F.col("copies") * F.col("size")).alias("taken"))
 
