@@ -22,11 +22,11 @@ import time
 from collections import defaultdict
 
 import zstandard
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, ".")
-from marquee.operators import avg_by_key, avg_by_packed_key, top_n_per_group  # noqa: E402
+from marquee.operators import avg_by_key, avg_by_packed_key, rank_within, top_n_per_group  # noqa: E402
 from marquee.sources.tables import read_table  # noqa: E402
 
 
@@ -97,35 +97,51 @@ def main():
              .withColumn("l_partkey", F.when(hot, F.lit(11)).otherwise(F.col("l_partkey"))))
     share = lines.filter(hot).count() / lines.count()
 
-    def plain_child(_):
-        j = orders.join(lines, orders["o_orderkey"] == lines["l_orderkey"])
-        return j.groupBy("l_returnflag").agg(F.avg("o_totalprice"))
+    # As many map tasks as a large input would have: AQE splits along their outputs.
+    lines = (read_table(spark, sf_dir, "lineitem").repartition(16)
+             .withColumn("l_orderkey", F.when(hot, F.lit(7)).otherwise(F.col("l_orderkey")))
+             .withColumn("l_partkey", F.when(hot, F.lit(11)).otherwise(F.col("l_partkey"))))
 
-    def plain_packed(_):
+    def child_mean():
+        return avg_by_key(orders, lines, [("o_orderkey", "l_orderkey")], "l_returnflag", "o_totalprice")
+
+    def plain_packed():
         j = part.join(lines, part["p_partkey"] == lines["l_partkey"])
         return (j.select(F.explode(F.split("p_name", " ")).alias("w"), "l_extendedprice")
                 .groupBy("w").agg(F.avg("l_extendedprice")))
 
-    ranked_input = lines.select("l_partkey", "l_quantity", "l_orderkey")
+    ranked = lines.select("l_partkey", "l_quantity", "l_orderkey")
+
+    def textbook_top3():
+        w = Window.partitionBy("l_partkey").orderBy(F.col("l_quantity").desc())
+        return ranked.withColumn("rank", F.rank().over(w)).where("rank <= 3")
+
+    scaled = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256KB",
+              "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+              "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB"}
+    off = {"spark.sql.adaptive.skewJoin.enabled": "false"}
     variants = {
-        "child_mean_plain_join": plain_child,
-        "child_mean_avg_by_key": lambda _: avg_by_key(orders, lines, [("o_orderkey", "l_orderkey")],
-                                                       "l_returnflag", "o_totalprice"),
-        "packed_mean_plain_join": plain_packed,
-        "packed_mean_avg_by_packed_key": lambda _: avg_by_packed_key(
-            part, lines, [("p_partkey", "l_partkey")], "p_name", "l_extendedprice", sep=" "),
-        "top3_per_part_window": lambda _: top_n_per_group(ranked_input, "l_partkey", "l_quantity",
-                                                          3, strategy="window"),
-        "top3_per_part_join": lambda _: top_n_per_group(ranked_input, "l_partkey", "l_quantity",
-                                                        3, broadcast_rows=0),
+        "child_mean_no_skew_join": (child_mean, off),
+        "child_mean": (child_mean, scaled),
+        "packed_mean_plain_join": (plain_packed, off),
+        "packed_mean_avg_by_packed_key": (lambda: avg_by_packed_key(
+            part, lines, [("p_partkey", "l_partkey")], "p_name", "l_extendedprice", sep=" "), off),
+        "top3_textbook_window": (textbook_top3, off),
+        "top3_best_rows": (lambda: top_n_per_group(ranked, "l_partkey", "l_quantity", 3), scaled),
+        "top3_counts_per_value": (lambda: rank_within(ranked, "l_partkey", "l_quantity").where("rank <= 3"), scaled),
     }
     wall = {}
     aqe_split = aqe_skew_split(spark, sf_dir)
-    for name, build in variants.items():
+    for name, (build, conf) in variants.items():
+        old = {k: spark.conf.get(k) for k in conf}
+        for k, v in conf.items():
+            spark.conf.set(k, v)
         spark.sparkContext.setJobDescription(name)
         t0 = time.time()
-        build(None).write.format("noop").mode("overwrite").save()
+        build().write.format("noop").mode("overwrite").save()
         wall[name] = time.time() - t0
+        for k, v in old.items():
+            spark.conf.set(k, v)
     spark.sparkContext.setJobDescription(None)
     spark.stop()
 
