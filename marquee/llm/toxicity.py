@@ -41,7 +41,7 @@ from marquee.llm.wordhash import HashTable, Words, char_table, code_points
 CATEGORIES = ("low_quality", "toxic")  # in chain order
 MAX_TRAIN = 8000     # labelled documents that the chain is fitted on
 N_FEATURES = 2048    # features kept for each category
-MIN_DOCS = 8         # training documents a kept feature occurs in, at least
+MIN_DOCS = 5         # training documents a kept feature occurs in, at least
 LEAST_Z = 4.5        # how much more often than by chance a kept feature meets its category
 FOLDS = 3
 THRESHOLD = 0.4
