@@ -270,6 +270,7 @@ def labelled_pages() -> list[str]:
                 f'<div class="newsletter" {_MARK}=B><p>{say(17)}</p></div><footer {_MARK}=B>{say(25)}</footer>',
         lambda: f'<div class="sponsored" {_MARK}=B>{paragraphs(30, 21)}</div><div class="comments" {_MARK}=B>'
                 f"<div>{say(35)}</div><div>{say(5)}</div></div>",
+        lambda: f"<div {_MARK}=B>" + " | ".join(f"<a href=/{j}>{say(1 + j % 2, '')}</a>" for j in range(4)) + "</div>",
     ]
     wraps = [lambda inside: f"<body {_MARK}=S>{inside}</body>",
              lambda inside: f'<body {_MARK}=S><div id="page" {_MARK}=S>{inside}</div></body>',
