@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -49,8 +51,9 @@ def str_rows(column: pa.Array) -> list[str]:
 def groups_by_size(sizes: list[int], limit: int):
     """Consecutive index ranges ``(lo, hi)`` whose sizes add up to about ``limit``.
 
-    A row larger than the limit gets a range of its own, so that vectorised
-    work over a range has bounded scratch memory whatever a batch holds.
+    A row larger than the limit gets a range of its own and is worked on in
+    ``pieces``, so that vectorised work has bounded scratch memory whatever a
+    batch holds.
     """
     lo, total = 0, 0
     for i, n in enumerate(sizes):
@@ -62,6 +65,32 @@ def groups_by_size(sizes: list[int], limit: int):
         yield lo, len(sizes)
 
 
+def cut_at_blanks(text: str, limit: int, lo: int = 0) -> int:
+    """Where to end a piece of ``text`` that starts at ``lo``: at a blank near ``limit`` characters on.
+
+    The last blank within the limit, else the first one after it, else the end:
+    no word is cut, however long.
+    """
+    if len(text) - lo <= limit:
+        return len(text)
+    at = max(text.rfind(" ", lo + 1, lo + limit), text.rfind("\n", lo + 1, lo + limit))
+    if at < 0:
+        found = re.compile(r"\s").search(text, lo + limit)
+        at = found.start() if found else len(text)
+    return at
+
+
+def pieces(text: str, limit: int):
+    """``text`` in consecutive pieces of about ``limit`` characters, cut at blanks."""
+    lo = 0
+    while True:
+        hi = cut_at_blanks(text, limit, lo)
+        yield text[lo:hi]
+        if hi == len(text):
+            return
+        lo = hi
+
+
 def mix64(h: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every input bit of a uint64 array over all output bits."""
     h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)

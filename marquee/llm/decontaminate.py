@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import groups_by_size, mix64
+from marquee.llm.common import cut_at_blanks, groups_by_size, mix64
 from marquee.llm.wordhash import HashTable, Words
 
 SHINGLE = 5
@@ -75,6 +75,9 @@ class ItemTable:
         """Per text: ``(item, shared shingles, shingles of the item)`` of the items in it."""
         out: list[list] = [[] for _ in texts]
         for lo, hi in groups_by_size([len(t) + 1 for t in texts], _CHARS):
+            if hi - lo == 1 and len(texts[lo]) > _CHARS:
+                out[lo] = self._search_long(texts[lo])
+                continue
             words = Words(texts[lo:hi])
             begin, length, hashes = words.shingles(self.shingle)
             at, place = self.table.find(hashes)
@@ -85,21 +88,50 @@ class ItemTable:
             edges = np.searchsorted(owner, np.arange(hi - lo + 1))
             for t, i in candidates:
                 a, b = int(edges[t]), int(edges[t + 1])
-                need = self.containment * self.sizes[i] - 1e-9
-                if b - a >= need:
-                    shared = self._shared(words, i, begin[a:b], length[a:b], hashes[a:b])
-                    if shared >= need:
-                        out[lo + t].append((i, shared, int(self.sizes[i])))
+                if b - a >= self.containment * self.sizes[i] - 1e-9:
+                    met = self._shared(words, i, begin[a:b], length[a:b], hashes[a:b])
+                    out[lo + t] += self._verified(i, met)
         return out
 
-    def _shared(self, words: Words, item: int, begin, length, hashes) -> int:
+    def _verified(self, item: int, met: set) -> list[tuple[int, int, int]]:
+        enough = len(met) >= self.containment * self.sizes[item] - 1e-9
+        return [(item, len(met), int(self.sizes[item]))] if enough else []
+
+    def _search_long(self, text: str) -> list[tuple[int, int, int]]:
+        """The same for one long text, piece by piece: candidates first, then their shared words."""
+        candidates: set[int] = set()
+        for _, _, _, hashes in self._long_shingles(text):
+            candidates.update(i for p in self.table.find(hashes)[1] for i in self.owners[p])
+        met: dict[int, set] = {i: set() for i in sorted(candidates)}
+        for words, begin, length, hashes in self._long_shingles(text):
+            for i, found in met.items():
+                found |= self._shared(words, i, begin, length, hashes)
+        return [hit for i, found in met.items() for hit in self._verified(i, found)]
+
+    def _long_shingles(self, text: str) -> Iterator[tuple[Words, np.ndarray, np.ndarray, np.ndarray]]:
+        """Shingles by piece; a piece starts again at the last words of the one before."""
+        lowered, lo, limit = text.lower(), 0, _CHARS
+        while True:
+            hi = cut_at_blanks(lowered, limit, lo)
+            words = Words([lowered[lo:hi]])
+            if hi < len(lowered) and len(words.begin) < 2 * self.shingle:
+                limit *= 2  # words of enormous length
+                continue
+            begin, length, hashes = words.shingles(self.shingle)
+            whole = (length == self.shingle) | (lo == 0)
+            yield words, begin[whole], length[whole], hashes[whole]
+            if hi == len(lowered):
+                return
+            lo, limit = lo + int(words.begin[1 - self.shingle]) if self.shingle > 1 else hi, _CHARS
+
+    def _shared(self, words: Words, item: int, begin, length, hashes) -> set:
         """Distinct word sequences of the item that stand in the document."""
         known, met = self.items[item], set()
         for k in np.flatnonzero(np.isin(hashes, np.fromiter(known, np.uint64, len(known)))):
             sequence = tuple(words.word(int(begin[k]) + j) for j in range(int(length[k])))
             if sequence in known[int(hashes[k])]:
                 met.add(sequence)
-        return len(met)
+        return met
 
 
 def _grouped(owner: np.ndarray, inverse: np.ndarray, n: int) -> list[list[int]]:

@@ -26,6 +26,7 @@ results; extra columns are ignored.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import groupby
 from typing import Iterator
 
 import numpy as np
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import cut_lineage, groups_by_size, mix64, str_rows
+from marquee.llm.common import cut_lineage, groups_by_size, mix64, pieces, str_rows
 from marquee.llm.wordhash import char_table, code_points
 
 LENGTHS = (3, 4)
@@ -78,6 +79,13 @@ def gram_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(owners), np.concatenate(hashes)
 
 
+def gram_groups(texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """``(first text, end, number from there, hash)`` by group of texts; a long one comes in several groups."""
+    for lo, hi in groups_by_size([len(t) + 2 for t in texts], _CHARS):
+        for part in ([p] for p in pieces(texts[lo], _CHARS)) if hi - lo == 1 else (texts[lo:hi],):
+            yield lo, hi, *gram_hashes(part)
+
+
 def _rows(hashes: np.ndarray, j: int) -> np.ndarray:
     return ((hashes >> np.uint64(j * FILTER_BITS)) & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
 
@@ -103,25 +111,21 @@ class LanguageFilter:
 
     def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Corrected counts ``(texts, languages)``, and which texts have a letter."""
-        out = np.zeros((len(texts), len(self.languages)))
-        lettered = np.zeros(len(texts), bool)
+        hits = np.zeros((len(texts), len(self.planes) * _PLANE))
+        total = np.zeros(len(texts))
         bits = (np.arange(256)[:, None] >> np.arange(_PLANE)) & 1
-        for lo, hi in groups_by_size([len(t) + 2 for t in texts], _CHARS):
-            owner, hashes = gram_hashes(texts[lo:hi])
-            total = np.bincount(owner, minlength=hi - lo)
-            lettered[lo:hi] = total > 0
+        for lo, hi, owner, hashes in gram_groups(texts):
+            total[lo:hi] += np.bincount(owner, minlength=hi - lo)
             rows = [_rows(hashes, j) for j in range(HASHES)]
             for p, plane in enumerate(self.planes):
                 held = plane[rows[0]]
                 for r in rows[1:]:
                     held &= plane[r]
                 by_set = np.bincount(owner * 256 + held, minlength=(hi - lo) * 256).reshape(-1, 256)
-                hits = by_set @ bits
-                width = min(_PLANE, len(self.languages) - p * _PLANE)
-                f = self.false_rate[p * _PLANE:p * _PLANE + width]
-                out[lo:hi, p * _PLANE:p * _PLANE + width] = (
-                    hits[:, :width] - total[:, None] * f) / np.maximum(1 - f, 1e-9)
-        return np.maximum(out, 0), lettered
+                hits[lo:hi, p * _PLANE:(p + 1) * _PLANE] += by_set @ bits
+        f = self.false_rate
+        corrected = (hits[:, :len(f)] - total[:, None] * f) / np.maximum(1 - f, 1e-9)
+        return np.maximum(corrected, 0), total > 0
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         counts, lettered = self.counts(texts)
@@ -155,8 +159,8 @@ def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_co
         for batch in batches:
             langs = np.array([number[v] for v in batch.column(0).to_pylist()], np.int64)
             texts = str_rows(batch.column(1))
-            for lo, hi in groups_by_size([len(t) + 2 for t in texts], _CHARS):
-                owner, hashes = gram_hashes(texts[lo:hi])
+            for (lo, hi), group in groupby(gram_groups(texts), key=lambda g: g[:2]):
+                owner, hashes = map(np.concatenate, zip(*((o, h) for _, _, o, h in group)))
                 order = np.lexsort((hashes, owner))
                 owner, hashes = owner[order], hashes[order]
                 new = np.ones(len(owner), bool)

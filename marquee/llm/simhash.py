@@ -32,6 +32,7 @@ id unless the whole component has null ids. Other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from itertools import combinations
 from typing import Iterator
 
@@ -46,33 +47,52 @@ from marquee.llm.common import cut_lineage, utf8_rows
 from marquee.llm.components import connected_components
 
 _CHUNK = 1 << 18  # shingle hashes unpacked to bits at a time
+_PIECE = 1 << 20  # bytes of a text split into words at a time
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def _bit_counts(words: list[bytes], shingle: int, seed: int) -> tuple[np.ndarray, int]:
     """How many shingle hashes have each of the 64 bits set, and how many there are."""
     digest = xxhash.xxh64_intdigest
     joined = b" ".join(words)
-    if len(words) <= shingle:
-        hashes = [digest(joined, seed)]
-    else:
-        ends = np.cumsum([len(w) + 1 for w in words])
-        starts = [0, *ends[:-1].tolist()]
-        hashes = [digest(joined[a:b - 1], seed)
-                  for a, b in zip(starts, ends[shingle - 1:].tolist())]
+    edges = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)])
+    span = min(shingle, len(words))
+    starts, ends = edges[:len(words) - span + 1], edges[span:]
     counts = np.zeros(64, np.int64)
-    for lo in range(0, len(hashes), _CHUNK):
-        part = np.array(hashes[lo:lo + _CHUNK], np.uint64)
+    for lo in range(0, len(starts), _CHUNK):
+        hashes = [digest(joined[a:b - 1], seed)
+                  for a, b in zip(starts[lo:lo + _CHUNK].tolist(), ends[lo:lo + _CHUNK].tolist())]
+        part = np.array(hashes, np.uint64)
         counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1,
                                 bitorder="little").sum(0, dtype=np.int64)
-    return counts, len(hashes)
+    return counts, len(starts)
+
+
+def _byte_pieces(text: bytes) -> Iterator[bytes]:
+    lo = 0
+    while lo < len(text):
+        blank = _BLANK.search(text, lo + _PIECE)
+        hi = blank.start() if blank else len(text)
+        yield text[lo:hi]
+        lo = hi
 
 
 def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
-    """Unsigned 64-bit SimHash of UTF-8 text; zero if it has no word."""
-    words = text.lower().split()  # on bytes: A-Z only, and the six ASCII blanks
-    if not words:
-        return 0
-    counts, n = _bit_counts(words, shingle, seed)
+    """Unsigned 64-bit SimHash of UTF-8 text; zero if it has no word.
+
+    Long texts are worked on in pieces; a piece takes over the last words of the
+    one before, so its first shingle follows on the last one there.
+    """
+    counts, n, words = np.zeros(64, np.int64), 0, []
+    for piece in _byte_pieces(text.lower()):  # on bytes: A-Z only, and the six ASCII blanks
+        words += piece.split()
+        if len(words) >= shingle:
+            more, m = _bit_counts(words, shingle, seed)
+            counts, n, words = counts + more, n + m, words[len(words) - shingle + 1:]
+    if not n:
+        if not words:
+            return 0
+        counts, n = _bit_counts(words, shingle, seed)
     return int(np.packbits(2 * counts > n, bitorder="little").view(np.uint64)[0])
 
 

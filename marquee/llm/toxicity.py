@@ -27,6 +27,7 @@ no features and is never toxic. Repeated documents score alike.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from itertools import groupby
 from typing import Iterator
 
 import numpy as np
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import WORD_PATTERN, cut_lineage, groups_by_size, mix64, str_rows
+from marquee.llm.common import WORD_PATTERN, cut_lineage, groups_by_size, mix64, pieces, str_rows
 from marquee.llm.wordhash import HashTable, Words, char_table, code_points
 
 CATEGORIES = ("low_quality", "toxic")  # in chain order
@@ -51,42 +52,56 @@ _STEPS = 300
 _CHARS = 1 << 20
 
 
-def _shape_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Two feature hashes a text: its share of symbols and of capitals, in bins."""
+def _marks(texts: list[str]) -> np.ndarray:
+    """Per text: its symbols, its capitals, its characters."""
     codes, starts = code_points(texts)
-    n = np.maximum(np.diff(starts) - 1, 1)
     letter, upper = char_table("isalnum")[codes], char_table("isupper")[codes]
     symbol = ~letter & ~char_table("isspace")[codes]
-    out, owner = [], []
-    for kind, marks in enumerate((symbol, upper)):
-        share = np.add.reduceat(marks.astype(np.int64), starts[:-1]) / n
-        bins = np.searchsorted([0.01, 0.02, 0.04, 0.08, 0.16, 0.32], share)
-        out.append(mix64((bins + 64 * (kind + 1)).astype(np.uint64)))
-        owner.append(np.arange(len(texts)))
-    return np.concatenate(owner), np.concatenate(out)
+    return np.column_stack([*(np.add.reduceat(m.astype(np.int64), starts[:-1]) for m in (symbol, upper)),
+                            np.diff(starts) - 1])
+
+
+def _shape_features(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two feature hashes a text that has a character: its share of symbols and of capitals, in bins."""
+    who = np.flatnonzero(marks[:, 2])
+    bins = [np.searchsorted([0.01, 0.02, 0.04, 0.08, 0.16, 0.32], marks[who, kind] / marks[who, 2]) for kind in (0, 1)]
+    return np.tile(who, 2), np.concatenate([mix64((b + 64 * (k + 1)).astype(np.uint64)) for k, b in enumerate(bins)])
+
+
+def _word_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    words = Words(texts)
+    owners, hashes = [words.text], [words.hash]
+    for length in _PREFIXES:
+        h, there = words.prefix_hash(length)
+        owners.append(words.text[there])
+        hashes.append(mix64(h[there] + np.uint64(length)))
+    return np.concatenate(owners), np.concatenate(hashes)
 
 
 def features(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """``(first text, its number from there, feature hash)`` arrays by group of texts, repeats included."""
+    """``(first text, its number from there, feature hash)`` arrays by group of texts, repeats included.
+
+    A long text comes as several groups, one after another.
+    """
     for lo, hi in groups_by_size([len(t) + 1 for t in texts], _CHARS):
-        words = Words(texts[lo:hi])
-        owners, hashes = [words.text], [words.hash]
-        for length in _PREFIXES:
-            h, there = words.prefix_hash(length)
-            owners.append(words.text[there])
-            hashes.append(mix64(h[there] + np.uint64(length)))
-        o, h = _shape_features(texts[lo:hi])
-        filled = np.array([bool(t.strip()) for t in texts[lo:hi]])
-        yield lo, np.concatenate([*owners, o[filled[o]]]), np.concatenate([*hashes, h[filled[o]]])
+        marks = np.zeros((hi - lo, 3), np.int64)
+        for part in ([p] for p in pieces(texts[lo], _CHARS)) if hi - lo == 1 else (texts[lo:hi],):
+            yield lo, *_word_features(part)
+            marks += _marks(part)
+        yield lo, *_shape_features(marks)
 
 
-def _distinct_rows(owner: np.ndarray, value: np.ndarray, n: int) -> list[np.ndarray]:
-    """Distinct values of each owner 0..n-1."""
+def _distinct_pairs(owner: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.lexsort((value, owner))
     owner, value = owner[order], value[order]
     new = np.ones(len(owner), bool)
     new[1:] = (owner[1:] != owner[:-1]) | (value[1:] != value[:-1])
-    owner, value = owner[new], value[new]
+    return owner[new], value[new]
+
+
+def _distinct_rows(owner: np.ndarray, value: np.ndarray, n: int) -> list[np.ndarray]:
+    """Distinct values of each owner 0..n-1."""
+    owner, value = _distinct_pairs(owner, value)
     edges = np.searchsorted(owner, np.arange(n + 1))
     return [value[a:b] for a, b in zip(edges, edges[1:])]
 
@@ -197,10 +212,10 @@ def _select_features(train: DataFrame, categories, n_features: int, min_docs: in
             texts = str_rows(batch.column(0))
             y = np.nan_to_num(np.column_stack([np.asarray(batch.column(i + 1).to_pandas(), float)
                                                for i in range(width)]))
-            for lo, owner, hashes in features(texts):
-                rows = _distinct_rows(owner, hashes, int(owner.max(initial=-1)) + 1)
-                flat = np.concatenate([*rows, np.zeros(0, np.uint64)])
-                who = np.repeat(np.arange(len(rows)), [len(r) for r in rows]) + lo
+            for lo, group in groupby(features(texts), key=lambda g: g[0]):
+                owner, hashes = map(np.concatenate, zip(*(_distinct_pairs(o, h) for _, o, h in group)))
+                who, flat = _distinct_pairs(owner, hashes)
+                who = who + lo
                 keys, place = np.unique(flat, return_inverse=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys.view(np.int64)), pa.array(np.bincount(place, minlength=len(keys)).astype(float)),
@@ -226,12 +241,12 @@ def _select_features(train: DataFrame, categories, n_features: int, min_docs: in
 
 
 def _matched(texts: list[str], table: HashTable) -> list[np.ndarray]:
-    out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(texts)
+    owners, columns = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for lo, owner, hashes in features(texts):
         at, column = table.find(hashes)
-        n = int(owner.max(initial=-1)) + 1
-        out[lo:lo + n] = _distinct_rows(owner[at], column, n)
-    return out
+        owners.append(owner[at] + lo)
+        columns.append(column)
+    return _distinct_rows(np.concatenate(owners), np.concatenate(columns), len(texts))
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column] | None = None,

@@ -1,0 +1,92 @@
+"""Long texts are worked on in pieces: the results are those of the whole text."""
+
+import random
+
+import numpy as np
+import pytest
+
+from marquee.llm import bm25_topk, common, decontaminate, language_id, simhash, toxicity
+from marquee.llm.wordhash import HashTable
+
+
+@pytest.fixture
+def texts():
+    rng = random.Random(9)
+    words = ["Größe", "naïve", "the", "x" * 70, "İstanbul", "a1", "***", "VERY!!", "ß", "漢字", "end."]
+    made = [rng.choice([" ", "\n", "  ", "\t"]).join(rng.choice(words) + rng.choice(["", "s", "9"]) for _ in range(n))
+            for n in (0, 3, 40, 400, 900, 5)]
+    return [*made, "y" * 3000, "z" * 500 + " tail words after a giant one " * 30]
+
+
+def both(module, monkeypatch, call, limit=300):
+    whole = call()
+    monkeypatch.setattr(module, "_CHARS", limit)
+    return whole, call()
+
+
+def test_pieces_put_together_are_the_text(texts):
+    for text in texts:
+        parts = list(common.pieces(text, 100))
+        assert "".join(parts) == text
+        assert all(p[-1:].isspace() or q[:1].isspace() for p, q in zip(parts, parts[1:]))
+
+
+def test_toxicity_features(texts, monkeypatch):
+    def rows():
+        out = [set() for _ in texts]
+        for lo, owner, hashes in toxicity.features(texts):
+            for o, h in zip(owner.tolist(), hashes.tolist()):
+                out[lo + o].add(h)
+        return out
+
+    whole, cut = both(toxicity, monkeypatch, rows)
+    assert whole == cut and not whole[0]
+    table = HashTable(np.array(sorted(set().union(*whole)), np.uint64)[::3])
+    assert [r.tolist() for r in toxicity._matched(texts, table)] == [
+        sorted(np.flatnonzero(np.isin(table.keys, np.array(sorted(w), np.uint64))).tolist()) for w in whole]
+
+
+def test_language_counts(texts, monkeypatch):
+    rng = np.random.default_rng(0)
+    grams = np.unique(language_id.gram_hashes(texts)[1])
+    model = language_id.LanguageFilter.build(["a", "b"], [rng.choice(grams, len(grams) // 2) for _ in range(2)])
+    whole, cut = both(language_id, monkeypatch, lambda: model.counts(texts))
+    assert np.allclose(whole[0], cut[0]) and (whole[1] == cut[1]).all()
+
+
+def test_term_vectors(texts, monkeypatch):
+    whole, cut = both(bm25_topk, monkeypatch, lambda: [dict(zip(t.tolist(), c.tolist())) for t, c in bm25_topk._vectors(texts)])
+    assert whole == cut and len(whole) == len(texts)
+
+
+@pytest.mark.parametrize("limit", [60, 300, 2000])
+def test_contained_items(texts, monkeypatch, limit):
+    rng = random.Random(2)
+    items = ["", "ends"]
+    for text in texts[2:]:
+        words = text.split()
+        for n in (1, 6, 30, 80):
+            at = rng.randrange(max(1, len(words) - n))
+            items.append(" ".join(words[at:at + n]))
+    table = decontaminate.ItemTable(items)
+    whole, cut = both(decontaminate, monkeypatch, lambda: table.search(texts), limit)
+    assert [sorted(w) for w in whole] == [sorted(c) for c in cut] and sum(map(len, whole)) > 10
+
+
+def test_fingerprints(texts, monkeypatch):
+    whole = [simhash.fingerprint(t.encode()) for t in texts]
+    monkeypatch.setattr(simhash, "_CHUNK", 7)
+    for piece in (1, 50, 1000):
+        monkeypatch.setattr(simhash, "_PIECE", piece)
+        for shingle in (1, 4):
+            assert [simhash.fingerprint(t.encode(), shingle) for t in texts] == [
+                simhash_whole(t, shingle) for t in texts]
+    assert [simhash.fingerprint(t.encode()) for t in texts] == whole
+
+
+def simhash_whole(text, shingle):
+    words = text.encode().lower().split()
+    if not words:
+        return 0
+    counts, n = simhash._bit_counts(words, shingle, 42)
+    return sum(1 << b for b in range(64) if 2 * counts[b] > n)
