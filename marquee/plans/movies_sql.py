@@ -70,15 +70,21 @@ def trend_reports_sql(spark: SparkSession, movies: DataFrame) -> dict[str, DataF
     return {name: spark.sql(text, movies=movies) for name, text in texts.items()}
 
 
-# Credits per (film, person), then per genre of the film: see ``actor_credits``.
+# Credits per (film, person), then per genre of the film: films are the shared
+# side of both chains, as in ``actor_credits``.
 _CREDITS = """(
+            WITH films AS (
+                SELECT id, name AS primaryTitle, TRY_CAST(date AS INT) AS startYear FROM {movies} WHERE rating > 4.0
+            ),
+            people AS (
+                SELECT id, nconst, averageRating, numVotes, credits
+                FROM films JOIN (SELECT tconst, primaryTitle, startYear FROM {basics}) USING (primaryTitle, startYear)
+                     JOIN {ratings} USING (tconst)
+                     JOIN (SELECT tconst, nconst, COUNT(*) AS credits FROM {principals} GROUP BY tconst, nconst)
+                          USING (tconst)
+            )
             SELECT genre, nconst, averageRating, numVotes, credits
-            FROM (SELECT id, name AS primaryTitle, TRY_CAST(date AS INT) AS startYear FROM {movies} WHERE rating > 4.0)
-                 JOIN (SELECT tconst, primaryTitle, startYear FROM {basics}) USING (primaryTitle, startYear)
-                 JOIN {ratings} USING (tconst)
-                 JOIN (SELECT tconst, nconst, COUNT(*) AS credits FROM {principals} GROUP BY tconst, nconst)
-                      USING (tconst)
-                 JOIN {genres} USING (id))"""
+            FROM people JOIN (SELECT id, genre FROM films JOIN {genres} USING (id)) USING (id))"""
 
 ACTOR_INFLUENCE = sql_forms.score_by_label_sql(
     _CREDITS, "genre", "nconst", "{names}", "nconst", "primaryName", "averageRating", "numVotes", "actor_name",

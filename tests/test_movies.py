@@ -152,6 +152,18 @@ def test_actor_influence_sql_rounds_half_up(spark, lb, imdb):
                                  for g, a, c, v, t, s in EXPECTED_P4)
 
 
+def test_actor_influence_forms_agree_on_repeated_films_and_credits(spark, lb, imdb):
+    movies = lb["movies"].unionByName(lb["movies"].where("rating > 4.2"))
+    principals = imdb["principals"].unionByName(imdb["principals"].limit(4))
+    args = (movies, lb["genres"], imdb["basics"], imdb["ratings"], principals, imdb["names"])
+    keys = ("movies", "genres", "basics", "ratings", "principals", "names")
+    sql = {(r[0], r[1]): r[2:] for r in rows(mvs.actor_influence_sql(spark, dict(zip(keys, args))))}
+    df = {(r[0], r[1]): r[2:] for r in rows(mv.actor_influence(*args))}
+    assert sql.keys() == df.keys() and any(v[0] > 3 for v in df.values())
+    for key, (count, mean, votes, score) in df.items():
+        assert sql[key] == (count, pytest.approx(mean, abs=0.0051), votes, pytest.approx(score, abs=0.0051))
+
+
 def test_combine_directory_side_by_side(spark):
     out = mv.combine_directory(spark, os.path.join(FIXTURES, "concat_dir"))
     # actors, genres, movies in name order; id and name come from actors (first wins);
