@@ -4,12 +4,25 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 # Element names by how they act on text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe object svg math canvas audio video select".split())
+RAW = frozenset("script style title textarea noscript iframe".split())
+# No article text stands in these, if they are closed; annotations repeat a formula in another notation.
+SKIPPED = frozenset("svg object video audio canvas select template annotation annotation-xml".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby "
                    "s samp small span strike strong sub sup time tt u var wbr img".split())
+# Their text belongs to the block around them.
+_FORMULA = frozenset("math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose "
+                     "msub msup msubsup munder mover munderover mmultiscripts mprescripts none mtable mlabeledtr mtr mtd "
+                     "maction semantics".split())
+_DRAWING = frozenset("g path circle rect line polyline polygon ellipse use defs symbol stop lineargradient radialgradient "
+                     "clippath mask".split())
+# Start tags that end an open drawing, and elements of a drawing that hold such tags.
+_LEAVES_SVG = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li menu "
+                        "meta ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+_HTML_IN_SVG = frozenset(("foreignobject", "desc", "title"))
 # An opening tag of the first kind ends an open element of the second.
 _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
          "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "body": ("head",),
@@ -23,9 +36,57 @@ _CLOSES_P = frozenset("address article aside blockquote center details dialog di
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?"""
                     r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]+)|([^\s"'>/=]+)""")
+_SKIPPED = re.compile(r"<(?:%s)\b" % "|".join(sorted(SKIPPED)), re.I)
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
 
 
+def _elements(source: str) -> tuple[dict[int, int], set[int]]:
+    """Where each closed element of ``SKIPPED`` starts and ends, and where ``RAW`` names stand as parts of a drawing.
+
+    An element that ends with an element around it, or with the page, is not closed.
+    """
+    ends: dict[int, int] = {}
+    parts: set[int] = set()
+    if not _SKIPPED.search(source):
+        return ends, parts
+    at, stack, n_open = 0, [("", 0, False)], Counter()  # open elements: name, start, whether inside is a drawing
+
+    def pop() -> tuple[str, int]:
+        name, start, _ = stack.pop()
+        n_open[name] -= 1
+        return name, start
+
+    while m := _TOKEN.search(source, at):
+        at = m.end()
+        if not m[2]:
+            continue
+        name, begin, drawing = m[2].lower(), m.start(), stack[-1][2]
+        if m[1]:
+            if n_open[name]:
+                found, start = pop()
+                while found != name:
+                    found, start = pop()
+                if name in SKIPPED:
+                    ends[start] = at
+            continue
+        if drawing and name in _LEAVES_SVG:
+            while stack[-1][2]:
+                pop()
+            drawing = False
+        if drawing and name in RAW:
+            parts.add(begin)
+        elif name in RAW:
+            end = _RAW_END[name].search(source, at)
+            at = end.end() if end else len(source)
+            continue
+        if m[3].endswith("/") and (drawing or name in ("svg", "math")):
+            ends[begin] = at
+        elif drawing or not (name in VOID or name in INLINE or name == "p"):
+            stack.append((name, begin, name == "svg" or drawing and name not in _HTML_IN_SVG))
+            n_open[name] += 1
+    return ends, parts
+
+
 class Page:
     """Nodes in page order. Elements and text blocks share the arrays ``parent`` and ``tag``.
 
@@ -94,6 +155,7 @@ class Page:
 
     def _parse(self, source: str) -> None:
         at, find = 0, _TOKEN.search
+        ends, parts = _elements(source)
         while m := find(source, at):
             self._write(source[at:m.start()])
             at = m.end()
@@ -102,7 +164,13 @@ class Page:
                     self._buffer.append(m[0][9:].removesuffix("]]>"))
                 continue
             name = m[2].lower()
-            if m[1]:
+            if name in SKIPPED:
+                if not m[1]:
+                    at = ends.get(m.start(), at)
+            elif name in _FORMULA or name in _DRAWING or m.start() in parts:
+                if name in ("mtr", "mtd"):
+                    self._buffer.append(" ")
+            elif m[1]:
                 if name in INLINE:
                     if name in self._inline:
                         self._inline.reverse()

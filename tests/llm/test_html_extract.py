@@ -83,3 +83,43 @@ def test_awkward_rows(spark, model):
     texts = [r.text for r in df.withColumn("text", html_extract.extract_column(spark, model, F.col("html"))).collect()]
     assert texts[:4] == ["", "", LONG.strip(), LONG.strip()]
     assert df.limit(0).withColumn("text", html_extract.extract_column(spark, model, F.col("html"))).count() == 0
+
+
+def blocks(source):
+    page = Page(source)
+    return [x for x, tag in zip(page.text, page.tag) if tag == "#text"]
+
+
+@pytest.mark.parametrize("inside", [
+    "<svg width='1'/>", "<svg/>", "<SVG viewBox='0 0 1 1'/>", "<math/>", "<svg><g><path d='m'/></g></svg>",
+    "<svg><svg><path d='m'/></svg><text>no</text></svg>", "<svg><title>no</svg>", "<svg><title/><style/><g/></svg>",
+    "<svg><foreignObject><div>no</div></foreignObject></svg>", "<object><object>no</object>no</object>",
+    "<select><option>no<option>no</select>", "<video src=x><p>no</p></video>", "<template><p>no<template>no</template>no</template>",
+    "<svg><path d='m'>", "<object data=x>", "<video src=x>", "<video src=x />", "<audio src=x>", "<canvas>", "<select>", "<svg><title/>",
+    "<svg><style><path d='m'/>", "<!-- <svg> -->", "<script>'<svg>'</script>"])
+def test_nothing_but_the_element_is_skipped(model, inside):
+    assert blocks(f"<article><p>one {inside} two<p>three</p></article><p>four</p>") == ["one two", "three", "four"]
+    # Neither an end tag further on nor one of an element around it makes an open element longer.
+    more = "<div><svg><g></g></svg><object></object><video></video><audio></audio><canvas></canvas><select></select></div>"
+    assert blocks(f"<article><div>one {inside}</div><p>two</p></article>{more}<p>three</p>") == ["one", "two", "three"]
+    words = " ".join(["several words of the article stand here"] * 8)
+    page = f"<body><nav><a href=/>Home</a></nav><article><h1>A title</h1><p>{words}</p>{inside}<p>{words}</p></article></body>"
+    assert html_extract.extract(model, [page]) == [f"A title\n\n{words}\n\n{words}"]
+
+
+def test_text_of_formulas_is_kept():
+    formula = ("<math><semantics><mrow><mi>x</mi><mo>&lt;</mo><mn>2</mn><mspace/></mrow><annotation encoding='tex'>x \\lt 2"
+               "</annotation></semantics></math>")
+    assert blocks(f"<p>Let {formula} be so.</p><p>More</p>") == ["Let x<2 be so.", "More"]
+    assert blocks("<math><mtable><mtr><mtd>1</mtd><mtd>2</mtd></mtr></mtable></math>") == ["1 2"]
+
+
+def test_icons_leave_links_and_paragraphs_as_they_are():
+    page = Page("<p><a href=/x>go <svg><path d='m'/></svg> on</a> now</p>")
+    assert (page.text[-1], page.linked[-1]) == ("go on now", 4)
+    assert blocks("<svg><path d='m'><p>left</p></svg><p>right</p>") == ["left", "right"]
+
+
+def test_many_open_elements_take_linear_time():
+    for name in ("video", "svg", "select", "object"):
+        assert blocks(f"<div><p>a</p>{f'<{name}>' * 30_000}<p>b</p></div>") == ["a", "b"]
