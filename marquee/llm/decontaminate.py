@@ -17,7 +17,9 @@ documents: nothing is shuffled. The table is cut into blocks of a bounded number
 of shingles, whatever the number of items, and each block is one pass.
 
 Words are runs of letters and digits, lower-cased. Shorter texts than a
-shingle have their whole sequence as the only one. Null or wordless items are
+shingle have their whole sequence as the only one, so an item of fewer words is
+found in documents of just these words and never searched in longer ones (the
+rule of ``OP7_SQL``). Null or wordless items are
 in no document; null or wordless documents hold no item. Repeated item or
 document rows are matched row by row.
 """
