@@ -6,7 +6,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.session import checkpoint_dir
@@ -25,6 +25,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def at_most(rows: DataFrame, n: int, per: str | None = None) -> DataFrame:
+    """``rows`` as they are, or the ``n`` first by a hash of the row where there are more (of a value of ``per``).
+
+    Only hashes and row numbers are ranked; of equal rows, any.
+    """
+    count = F.count(F.lit(1)).alias("n")
+    most = rows.agg(count) if per is None else rows.groupBy(per).agg(count).agg(F.max("n").alias("n"))
+    if (most.first()["n"] or 0) <= n:
+        return rows
+    group, hashed, number = "at_most_group", "at_most_hash", "at_most_row"
+    marked = rows.select("*", F.lit(0).alias(group) if per is None else F.col(per).alias(group),
+                         F.xxhash64(*rows.columns).alias(hashed), F.monotonically_increasing_id().alias(number))
+    first = Window.partitionBy(group).orderBy(hashed, number)
+    last = (marked.select(group, hashed, number).withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= n)
+            .groupBy(F.col(group).alias("g")).agg(F.max(F.struct(hashed, number)).alias("last")))
+    return (marked.join(F.broadcast(last), F.col(group) == F.col("g"))
+            .where(F.struct(hashed, number) <= F.col("last")).select(*rows.columns))
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` is called so."""
     taken = {c.lower() for c in df.columns}

@@ -13,7 +13,7 @@ containment needs is no candidate. Every candidate is verified on the exact
 words of the shared shingles.
 
 The sketches are a lookup table that tasks hold while they pass once over the
-documents: nothing is shuffled. The table is cut into blocks of a bounded number
+documents: no document is shuffled. The table is cut into blocks of a bounded number
 of shingles, whatever the number of items, and each block is one pass.
 
 Words are runs of letters and digits, lower-cased. Shorter texts than a
@@ -40,7 +40,7 @@ SHINGLE = 5
 CONTAINMENT = 0.8
 BLOCK_SHINGLES = 1 << 20  # shingles of items in one broadcast table
 _CHARS = 1 << 20          # characters hashed at a time
-_HITS = "array<struct<item:string,n_shared:int,n_shingles:int>>"
+_HITS = "array<struct<item:string,n_shared:int,n_shingles:int,repeats:bigint>>"
 
 
 def sketch_size(n: int, containment: float) -> int:
@@ -150,35 +150,38 @@ def _sequences(text: str, shingle: int) -> dict[int, set]:
     return out
 
 
-def _search_column(spark, ids: list, texts: list[str], text: Column, shingle: int, containment: float) -> Column:
-    shared = spark.sparkContext.broadcast(([None if i is None else str(i) for i in ids], texts))
+def _search_column(spark, ids: list, texts: list[str], repeats: list[int], text: Column, shingle: int,
+                   containment: float) -> Column:
+    shared = spark.sparkContext.broadcast(([None if i is None else str(i) for i in ids], texts, repeats))
 
     @F.pandas_udf(_HITS)
     def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        ids, texts = shared.value
+        ids, texts, repeats = shared.value
         table = ItemTable(texts, shingle, containment)
         for batch in batches:
             hits = table.search([t or "" for t in batch])
-            yield pd.Series([[{"item": ids[i], "n_shared": s, "n_shingles": n} for i, s, n in h] for h in hits],
-                            index=batch.index, dtype=object)
+            yield pd.Series([[{"item": ids[i], "n_shared": s, "n_shingles": n, "repeats": repeats[i]} for i, s, n in h]
+                             for h in hits], index=batch.index, dtype=object)
 
     return search(text.cast("string"))
 
 
 def item_blocks(items: DataFrame, id_col: str, text_col: str, block_shingles: int):
-    """The items as ``(ids, texts)`` blocks, each with a bounded amount of text for one broadcast.
+    """The items as ``(ids, texts, repeats)`` blocks, each with a bounded amount of text for one broadcast.
 
     A word has two characters at least (itself and a blank), so characters
-    bound shingles; an item larger than a block is a block of its own.
+    bound shingles; an item larger than a block is a block of its own. Equal
+    item rows are one item with their number in ``repeats``.
     """
     rows = items.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     size = F.coalesce(F.length("text"), F.lit(0)) + 1
-    total = rows.agg(F.sum(size.cast("bigint"))).first()[0] or 0
+    total = rows.distinct().agg(F.sum(size.cast("bigint"))).first()[0] or 0
     n = -(-total // (2 * block_shingles)) if total else 0
     for k in range(n):
-        part = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).orderBy("id", "text").collect()
+        part = (rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).groupBy("id", "text")
+                .agg(F.count(F.lit(1)).alias("repeats")).orderBy("id", "text").collect())
         if part:
-            yield [r.id for r in part], [r.text or "" for r in part]
+            yield [r.id for r in part], [r.text or "" for r in part], [r.repeats for r in part]
 
 
 def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -189,9 +192,11 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     item_type = items.schema[item_id_col].dataType
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     out = None
-    for ids, texts in item_blocks(items, item_id_col, item_text_col, block_shingles):
-        hits = rows.select("id", F.explode(_search_column(spark, ids, texts, F.col("text"), shingle,
-                                                            containment)).alias("hit"))
+    for ids, texts, repeats in item_blocks(items, item_id_col, item_text_col, block_shingles):
+        hits = rows.select("id", F.explode(_search_column(spark, ids, texts, repeats, F.col("text"),
+                                                            shingle, containment)).alias("hit"))
+        if max(repeats) > 1:
+            hits = hits.select("id", "hit", F.explode(F.sequence(F.lit(1), F.col("hit.repeats")))).select("id", "hit")
         found = hits.select("id", F.col("hit.item").cast(item_type).alias("item_id"),
                             "hit.n_shared", "hit.n_shingles",
                             (F.col("hit.n_shared") / F.col("hit.n_shingles")).alias("containment"))
@@ -207,7 +212,7 @@ def without_items(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
                   item_text_col: str = "text", shingle: int = SHINGLE, containment: float = CONTAINMENT,
                   block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """The rows of ``docs`` in which no item is found, all columns as they are."""
-    for ids, texts in item_blocks(items, item_id_col, item_text_col, block_shingles):
-        hits = _search_column(docs.sparkSession, ids, texts, F.col(text_col), shingle, containment)
+    for ids, texts, repeats in item_blocks(items, item_id_col, item_text_col, block_shingles):
+        hits = _search_column(docs.sparkSession, ids, texts, repeats, F.col(text_col), shingle, containment)
         docs = docs.where(F.size(hits) == 0)
     return docs

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import cut_lineage, groups_by_size, mix64, pieces, str_rows
+from marquee.llm.common import at_most, cut_lineage, groups_by_size, mix64, pieces, str_rows
 from marquee.llm.wordhash import char_table, code_points
 
 LENGTHS = (3, 4)
@@ -151,8 +151,9 @@ def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_co
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id", F.lit("language")), "id")
     chosen = (rows.select("id", "lang").withColumn("nth", F.row_number().over(order))
               .where(F.col("nth") <= docs_per_language).select(F.col("id").alias("s_id"), F.col("lang").alias("s_lang")))
-    sample = rows.join(F.broadcast(chosen), (F.col("id") == F.col("s_id")) & (F.col("lang") == F.col("s_lang")),
-                       "left_semi").select("lang", "text")
+    sample = at_most(  # an id may stand in many rows
+        rows.join(F.broadcast(chosen), (F.col("id") == F.col("s_id")) & (F.col("lang") == F.col("s_lang")),
+                  "left_semi").select("lang", "text"), docs_per_language, "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = {name: i for i, name in enumerate(languages)}

@@ -108,7 +108,7 @@ def unpack_table(table: tuple[str, bytes, bytes]) -> dict[str, int]:
 
 def frequent_pieces(docs: DataFrame, id_col: str, text_col: str, sample_docs: int,
                     table_size: int) -> list[str]:
-    """The most frequent pre-tokens of about ``sample_docs`` texts picked by a hash of the id."""
+    """The most frequent pre-tokens of about ``sample_docs`` texts picked by a hash of the id and row number."""
     every = max(1, docs.count() // max(1, sample_docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,7 +120,7 @@ def frequent_pieces(docs: DataFrame, id_col: str, text_col: str, sample_docs: in
         yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in top], pa.string()),
                                           pa.array([n for _, n in top], pa.int64())], ["piece", "n"])
 
-    sample = docs.where(F.pmod(F.xxhash64(id_col), F.lit(every)) == 0)
+    sample = docs.where(F.pmod(F.xxhash64(id_col, F.monotonically_increasing_id()), F.lit(every)) == 0)
     rows = sample.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "piece string, n long")
     total: Counter = Counter()
     for piece, n in rows.collect():  # what the bounded sample holds, at most

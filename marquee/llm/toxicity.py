@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import WORD_PATTERN, cut_lineage, groups_by_size, mix64, pieces, str_rows
+from marquee.llm.common import WORD_PATTERN, at_most, cut_lineage, groups_by_size, mix64, pieces, str_rows
 from marquee.llm.wordhash import HashTable, Words, char_table, code_points
 
 CATEGORIES = ("low_quality", "toxic")  # in chain order
@@ -192,15 +192,18 @@ def fit_chain(sparse: SparseRows, labels: np.ndarray, fold: np.ndarray, categori
 
 def _training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, categories,
                    max_train: int) -> DataFrame:
-    """``(fold, text, <category>...)`` of the bounded sample, one row a labelled document."""
+    """``(fold, text, <category>...)`` of the bounded sample, one row a labelled document.
+
+    At most ``max_train`` rows, however often an id stands in ``docs``.
+    """
     values = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("label_id")).agg(
         *[F.max(F.col(c).cast("double")).alias(f"y{i}") for i, c in enumerate(categories)])
     order = F.xxhash64(F.col("label_id"), F.lit("toxicity"))
     sample = values.orderBy(order, "label_id").limit(max_train)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.join(F.broadcast(sample), F.col("id") == F.col("label_id")).select(
+    return at_most(rows.join(F.broadcast(sample), F.col("id") == F.col("label_id")).select(
         F.pmod(F.xxhash64("id"), F.lit(FOLDS)).cast("int").alias("fold"), "text",
-        *[f"y{i}" for i in range(len(categories))])
+        *[f"y{i}" for i in range(len(categories))]), max_train)
 
 
 def _select_features(train: DataFrame, categories, n_features: int, min_docs: int) -> np.ndarray:

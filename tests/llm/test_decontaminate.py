@@ -85,3 +85,14 @@ def test_sketch_meets_every_containing_document():
     for n in range(1, 200):
         missing = n - -(-4 * n // 5)  # most shingles that a containing document may lack
         assert decontaminate.sketch_size(n, 0.8) > missing
+
+
+def test_equal_items_are_broadcast_once(spark):
+    text = " ".join(f"w{i}" for i in range(20))
+    items = frame(spark, [(1, text)] * 500 + [(2, text), (None, text), (None, text)], "item_id BIGINT, text STRING")
+    blocks = list(decontaminate.item_blocks(items, "item_id", "text", 1 << 20))
+    assert [(ids, repeats) for ids, _, repeats in blocks] == [([None, 1, 2], [2, 500, 1])]
+    docs = [(7, text), (8, "other words"), (7, text)]
+    got = decontaminate.contained_items(frame(spark, docs), items)
+    assert found(got) == plain_hits(docs, [(r.item_id, r.text) for r in items.collect()])
+    assert decontaminate.without_items(frame(spark, docs), items).count() == 1

@@ -70,3 +70,21 @@ def test_many_languages(spark):
     model = language_id.learn(frame(spark, rows, "doc_id BIGINT, text STRING, lang STRING"))
     lang, score = model.predict([r[1] for r in rows])
     assert lang == [r[2] for r in rows] and (score == 1).all()
+
+
+def test_rows_of_a_sample_are_bounded_not_ids(spark, monkeypatch):
+    docs = spark.range(400).selectExpr("1L doc_id", "if(id < 300, 'en', 'de') lang", "concat('das und ', id) text")
+    kept = []
+    monkeypatch.setattr(language_id, "cut_lineage", lambda df: kept.append(df.cache()) or kept[-1])
+    language_id.learn(docs, docs_per_language=20)
+    assert [r.n for r in kept[0].where("key is null").collect()] == [20, 20]
+
+
+def test_at_most(spark):
+    from marquee.llm.common import at_most
+
+    rows = spark.range(1000).selectExpr("if(id < 700, 'en', 'de') lang", "if(id < 600, 'one text', concat('text ', id)) text")
+    got = at_most(rows, 50, "lang").groupBy("lang").count().collect()
+    assert {r.lang: r["count"] for r in got} == {"en": 50, "de": 50}
+    assert at_most(rows, 60).count() == 60
+    assert at_most(rows, 700, "lang").count() == 1000 and at_most(rows.where("false"), 5).count() == 0

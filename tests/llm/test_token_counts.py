@@ -46,3 +46,11 @@ def test_awkward_rows(spark):
     want = sorted(zip([str(r.doc_id) for r in docs.collect()], library_counts(r.text for r in docs.collect())))
     assert sorted((str(r.id), r.n_tokens) for r in rows) == want
     assert token_counts.token_counts(empty(spark), PATH).count() == 0
+
+
+def test_the_sample_does_not_take_every_row_of_one_id(spark):
+    docs = spark.range(0, 4000, 1, 4).selectExpr("CAST(NULL AS BIGINT) doc_id", "concat('x', id) text")
+    pieces = token_counts.frequent_pieces(docs, "doc_id", "text", 100, 100_000)
+    assert 0 < len(pieces) < 400
+    one = docs.selectExpr("7L doc_id", "text")
+    assert 0 < len(token_counts.frequent_pieces(one, "doc_id", "text", 100, 100_000)) < 400

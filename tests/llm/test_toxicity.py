@@ -86,3 +86,13 @@ def test_without_labels_nothing_is_toxic(spark):
         assert all(0 <= r.scores.toxic <= 1 for r in rows)
     assert not any(r.flag for r in scored(docs, toxicity.train(docs, none)).collect())
     assert scored(empty(spark), toxicity.train(empty(spark), none)).count() == 0
+
+
+def test_a_repeated_id_leaves_the_sample_bounded(spark):
+    docs = spark.range(900).selectExpr("if(id < 600, 0, id) doc_id", "concat('some words ', id) text")
+    labels = spark.range(900).where("id = 0 or id >= 600").selectExpr("id doc_id", "double(id % 2) toxic")
+    rows = toxicity._training_rows(docs, labels, "doc_id", "text", ("toxic",), 301)
+    assert rows.count() == 301 and rows.distinct().count() == 301
+    same = docs.selectExpr("doc_id", "if(doc_id = 0, 'one text', text) text")
+    assert toxicity._training_rows(same, labels, "doc_id", "text", ("toxic",), 310).count() == 310
+    assert toxicity._training_rows(docs.where("doc_id > 0"), labels, "doc_id", "text", ("toxic",), 301).count() == 300
