@@ -7,11 +7,12 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import (bm25_topk, decontaminate, html_extract, language_id, license_scan, mixing,
-                         sharding, simhash, token_counts, toxicity)
+from marquee.llm import (bm25_topk, conversation_repair, decontaminate, html_extract, language_id, license_scan,
+                         mixing, secret_scan, sharding, simhash, token_alignment, token_counts, toxicity)
 from marquee.sources.tables import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 TOKEN_LIMIT = 512
 
 
@@ -81,6 +82,30 @@ def op10_source_mixing(spark: SparkSession, d: str) -> DataFrame:
                        (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op11_token_alignment(spark: SparkSession, d: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_alignment.align(read_table(spark, d, "documents"), public_tokenizers.path(TOKENIZER),
+                                 public_tokenizers.path(PIECES)).withColumnRenamed("id", "doc_id")
+
+
+def op12_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
+    rows = conversation_repair.damage(read_table(spark, d, "conversations"))
+    reported, repaired = conversation_repair.repair(rows)
+    digests = conversation_repair.text_digests(repaired).withColumnRenamed("conv_id", "digest_of")
+    return (reported.join(digests, F.col("conv_id").eqNullSafe(F.col("digest_of")), "left").drop("digest_of")
+            .withColumn("repaired_sha256", F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256))))
+
+
+def op13_secret_scan(spark: SparkSession, d: str) -> DataFrame:
+    found = secret_scan.secret_spans(read_table(spark, d, "documents"))
+    spans, fixed = F.col("spans"), secret_scan.KINDS[:3]
+    counts = [F.size(secret_scan.of_kind(spans, k)).cast("bigint").alias(f"n_{k}") for k in fixed]
+    base = F.sha2(secret_scan.span_list(secret_scan.of_kind(spans, *fixed)).cast("binary"), 256)
+    return found.select(F.col("id").alias("doc_id"), *counts, base.alias("base_sha256"),
+                        secret_scan.span_list(spans).alias("spans"))
+
+
 def _number(text: str) -> str:
     return f"('0x' || substr(md5({text}), 1, 15))::BIGINT"
 
@@ -173,5 +198,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_sharding": op9_sharding,
     "op10_source_mixing": op10_source_mixing,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_secret_scan": op13_secret_scan,
 }
 ORACLES: dict[str, str] = {"op7_decontamination": OP7_SQL, "op9_sharding": OP9_SQL, "op10_source_mixing": OP10_SQL}
