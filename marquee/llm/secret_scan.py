@@ -61,18 +61,17 @@ SENSITIVE = re.compile(r"pass(?:w(?:or)?d|phrase|code)?\b|pwd|secret|token|api[_
 # Words that names in code and configuration are made of; the compression dictionary.
 IDENTIFIERS = """
 access account action active address age amount api application args array async auth author authorization base64
-batch begin boolean browser buffer build button bytes cache callback certificate channel character class client code
-column command comment common component config connection console const content context control cookie count create
-credential current data database date debug decode default delete description device dictionary directory document
-domain download dynamic element email enable encode endpoint entity environment error event example exception export
-extension factory false field file filter final folder format function gateway getElementById global group handler
-hash header height history host html http https identifier image import index init input insert instance integer
-interface internal item iterator java json key label language layout length level library limit list local location
-login manager map max memory message method min model module monitor name network node null number object offset
-option order output package page parameter parent parse password path pattern payload person port print private
-process product profile project property protocol provider public query queue random read record region register
-release remote request resource shared size source state status storage string style system table target task template
-text thread time timeout token
+batch buffer build button bytes cache callback certificate channel character class client code column command common
+component config connection console const content context control cookie count create credential current data database
+date debug decode default delete description device directory document domain download element email enable encode
+endpoint entity environment error event example export factory false field file filter format function getElementById
+global group handler hash header height host html http https image import index init input insert instance integer
+interface internal item java json key label language layout length level limit list local location login manager map
+max memory message method min model module monitor name network node null number object offset option order output
+package page parameter parent parse password path pattern payload person port print private process product profile
+project property protocol provider public query queue read record remote request resource response result return role
+route sample schema script search secret secure select server service session setting size source state status storage
+string style system table target task template text thread time timeout token
 """.split()
 
 
