@@ -39,6 +39,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from itertools import chain
 from typing import Iterator
 
 import numpy as np
@@ -53,7 +54,7 @@ from marquee.session import scratch_path
 TABLE_SIZE = 1 << 20   # most frequent pairs that are broadcast
 BLOCK_CHARS = 1 << 21  # texts aligned at once
 PIECE_UNITS = 1 << 17  # units of a long text worked on at once
-CACHE_SIZE = 1 << 18   # units that a worker remembers
+CACHE_SIZE = 1 << 19   # units that a worker remembers
 BUFFER_PAIRS = 1 << 21  # pair counts that a task holds before it passes them on
 _LONG = 64             # longer units are encoded but not remembered
 
@@ -101,35 +102,48 @@ class Pair:
         self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
         self.limit, self.known = cache_size, {}
 
-    def _encode(self, units: list[str]) -> Iterator[tuple[bytes, bytes] | None]:
-        """A and B ids of each unit as packed 32-bit numbers; None if the bytes of either differ from the unit's."""
-        found_a = self.a.encode_batch(units, add_special_tokens=False)
-        found_b = self.b.encode([u[1:] for u in units], num_threads=1)
-        for unit, a, b in zip(units, found_a, found_b):
-            a, b, raw = a.ids, b if unit != " " else [self.space], unit.encode()
-            same = (b"".join(map(self.a_bytes.__getitem__, a)) == raw
-                    and b"".join(map(self.b_bytes.__getitem__, b)) == raw)
-            yield (np.array(a, np.uint32).tobytes(), np.array(b, np.uint32).tobytes()) if same else None
+    def _encode(self, units: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """A and B ids of each unit as packed 32-bit numbers; None if the bytes of either differ from the unit's.
+
+        Units that end in a character other than white space are joined and
+        encoded as one text, whose tokens are then cut where the units end.
+        """
+        text = "".join(units)
+        a = self.a.encode(text, add_special_tokens=False).ids
+        b = self.b.encode(text[1:]) if text != " " else [self.space]
+        raw = text.encode()
+        if b"".join(map(self.a_bytes.__getitem__, a)) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
+            half = len(units) // 2
+            return [*self._encode(units[:half]), *self._encode(units[half:])] if half else [None]
+        ends = np.cumsum([len(u.encode()) for u in units])
+        rows = []
+        for ids, sizes in ((a, self.a_sizes), (b, self.b_sizes)):
+            ids = np.array(ids, np.uint32)
+            cuts = (4 * np.searchsorted(np.cumsum(sizes[ids]), ends) + 4).tolist()
+            packed = ids.tobytes()
+            rows.append([packed[lo:hi] for lo, hi in zip([0, *cuts], cuts)])
+        return list(zip(*rows))
+
+    def learn(self, rows: list[list[str]]) -> list[str]:
+        """Encodes the units that are not known yet; returns those too long to be remembered."""
+        known, units = self.known, dict.fromkeys(chain.from_iterable(rows))
+        new = [u for u in units if u not in known]
+        if len(known) + len(new) > self.limit:
+            known.clear()
+            new = list(units)
+        joined = [u for u in new if not u[-1].isspace()]
+        if joined:
+            known.update(zip(joined, self._encode(joined)))
+        if len(joined) < len(new):
+            known.update((u, self._encode([u])[0]) for u in new if u[-1].isspace())
+        return [u for u in new if len(u) > _LONG]
 
     def ids(self, units: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
-        """A and B ids of a row of units, None if any of them has other bytes."""
-        known = self.known
-        new = [u for u in dict.fromkeys(units) if u not in known]
-        if new:
-            if len(known) + len(new) > self.limit:
-                known.clear()
-                new = list(dict.fromkeys(units))
-            known.update(zip(new, self._encode(new)))
-        try:
-            a, b = zip(*map(known.__getitem__, units))
-        except TypeError:  # a unit is None
-            a = None
-        for u in new:
-            if len(u) > _LONG:
-                del known[u]
-        if a is None:
+        """A and B ids of a row of learned units, None if any of them has other bytes."""
+        found = [self.known[u] for u in units]
+        if None in found:
             return None
-        return np.frombuffer(b"".join(a), np.uint32), np.frombuffer(b"".join(b), np.uint32)
+        return tuple(np.frombuffer(b"".join(x), np.uint32) for x in zip(*found))
 
 
 def unit_pieces(text: str, size: int = PIECE_UNITS) -> Iterator[list[str]]:
@@ -233,24 +247,27 @@ def align_texts(pair: Pair, texts: list[str], id_texts: np.ndarray, block_chars:
 
     def flush():
         nonlocal chars
-        if waiting:
-            block = Block(pair, [w[1] for w in waiting], [w[2] for w in waiting], id_texts)
-            for k, (i, _, _) in enumerate(waiting):
+        long = pair.learn([units for _, units in waiting])
+        encoded = [(i, pair.ids(units)) for i, units in waiting]
+        wrong.update(i for i, ids in encoded if ids is None)
+        encoded = [(i, *ids) for i, ids in encoded if ids is not None]
+        if encoded:
+            block = Block(pair, [a for _, a, _ in encoded], [b for _, _, b in encoded], id_texts)
+            for k, (i, _, _) in enumerate(encoded):
                 out[i].add(*block.piece(k))
+        for unit in long:
+            del pair.known[unit]
         waiting.clear()
         chars = 0
 
     for i, text in enumerate(texts):
         for units in unit_pieces(text, piece_units) if text else ():
-            ids = pair.ids(units)
-            if ids is None:
-                wrong.add(i)
-                break
-            waiting.append((i, *ids))
+            waiting.append((i, units))
             chars += sum(map(len, units))
             if chars >= block_chars:
                 flush()
-    flush()
+    if waiting:
+        flush()
     for i in wrong:
         out[i] = Aligned()
     return out
