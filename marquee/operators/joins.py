@@ -12,6 +12,7 @@ from __future__ import annotations
 from typing import Iterable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from marquee.operators.clean import all_of
 
@@ -31,8 +32,11 @@ def full_outer_counts(left: DataFrame, right: DataFrame, key: str,
                       fill_columns: Iterable[str], fill: int = 0) -> DataFrame:
     """Full outer join on a same-named key (emitted once) with 0 for missing counts.
 
-    Only the count columns are filled: a NULL key stays NULL rather than
-    becoming a fake key 0.
+    The key is compared null-safely, so rows without a key of either side share
+    one row. Only the count columns are filled: a NULL key stays NULL rather
+    than becoming a fake key 0.
     """
-    return left.join(right, key, "full_outer").fillna(fill, subset=list(fill_columns))
-
+    other = right.withColumnRenamed(key, "_right_key")
+    joined = left.join(other, left[key].eqNullSafe(other["_right_key"]), "full_outer")
+    merged = joined.withColumn(key, F.coalesce(left[key], other["_right_key"])).drop("_right_key")
+    return merged.fillna(fill, subset=list(fill_columns))

@@ -13,13 +13,17 @@ from typing import Sequence
 
 
 def two_source_counts_sql(left: str, right: str, key: str, left_count: str, right_count: str) -> str:
-    """Rows per key of two relations, 0 where one has none: counts stacked, then summed once."""
+    """Rows per key of two relations side by side, 0 where one has none.
+
+    Each side is one row a key before the join. The join is null-safe: rows
+    without a key are counted in one row with a NULL key, whichever side has them.
+    """
     return f"""
-        SELECT {key}, SUM(n_left) AS {left_count}, SUM(n_right) AS {right_count}
-        FROM (SELECT {key}, COUNT(*) AS n_left, 0L AS n_right FROM {left} GROUP BY {key}
-              UNION ALL
-              SELECT {key}, 0L, COUNT(*) FROM {right} GROUP BY {key})
-        GROUP BY {key}
+        WITH l AS (SELECT {key}, COUNT(*) AS n FROM {left} GROUP BY {key}),
+             r AS (SELECT {key}, COUNT(*) AS n FROM {right} GROUP BY {key})
+        SELECT COALESCE(l.{key}, r.{key}) AS {key},
+               COALESCE(l.n, 0L) AS {left_count}, COALESCE(r.n, 0L) AS {right_count}
+        FROM l FULL OUTER JOIN r ON l.{key} <=> r.{key}
         ORDER BY {key} DESC"""
 
 
@@ -53,21 +57,13 @@ def group_stats_sql(rel: str, keys: Sequence[str], value: str, avg_name: str, co
 
 
 def top_n_per_group_sql(rel: str, columns: Sequence[str], group: str, value: str, n: int, rank_col: str) -> str:
-    """Rows of rank <= n: a value's rank is one more than the rows above it, from counts per value."""
-    names = ", ".join(f"t.{c}" for c in columns)
+    """Rows of rank <= n; the rank filter reaches the map side as a group limit, so few rows are shuffled."""
+    names = ", ".join(columns)
     return f"""
-        WITH per_value AS (
-            SELECT {group}, {value}, COUNT(*) AS n FROM {rel} GROUP BY {group}, {value}
-        ),
-        placed AS (
-            SELECT {group}, {value},
-                   CAST(1 + SUM(n) OVER (PARTITION BY {group} ORDER BY {value} DESC) - n AS INT) AS {rank_col}
-            FROM per_value
-        )
-        SELECT {names}, p.{rank_col}
-        FROM {rel} t JOIN placed p ON t.{group} <=> p.{group} AND t.{value} <=> p.{value}
-        WHERE p.{rank_col} <= {n}
-        ORDER BY t.{group}, p.{rank_col}"""
+        SELECT {names}, {rank_col}
+        FROM (SELECT {names}, RANK() OVER (PARTITION BY {group} ORDER BY {value} DESC) AS {rank_col} FROM {rel})
+        WHERE {rank_col} <= {n}
+        ORDER BY {group}, {rank_col}"""
 
 
 def bucket_avg_sql(rel: str, column: str, value: str, width: int, bucket: str, out: str) -> str:
@@ -88,6 +84,28 @@ def era_change_sql(rel: str, group: str, time_col: str, split_at: int, value: st
         ORDER BY {change} DESC, {group}"""
 
 
+def split_means_sql(rel: str, group: str, condition: str, value: str, where_true: str, where_false: str,
+                    kept: str) -> str:
+    """Mean of ``value`` where ``condition`` holds and where it does not, side by side per group.
+
+    ``kept`` is a condition on the two means, by their names; a mean of no rows is NULL.
+    """
+    return f"""
+        SELECT {group},
+               AVG(CASE WHEN {condition} THEN {value} END) AS {where_true},
+               AVG(CASE WHEN NOT ({condition}) THEN {value} END) AS {where_false}
+        FROM {rel} GROUP BY {group}
+        HAVING {kept}
+        ORDER BY {group}"""
+
+
+def banded_stats_sql(rel: str, band: str, value: str, band_name: str, count_name: str, avg_name: str) -> str:
+    """Rows and mean per band, where ``band`` is an expression: the grouping repeats it."""
+    return f"""
+        SELECT {band} AS {band_name}, COUNT(*) AS {count_name}, AVG({value}) AS {avg_name}
+        FROM {rel} GROUP BY {band} ORDER BY {band_name}"""
+
+
 def score_by_label_sql(rel: str, group: str, id_col: str, labels: str, label_key: str, label: str, rating: str,
                        weight: str, label_name: str, count_name: str, avg_name: str, total_name: str,
                        score_name: str, digits: int | None = None, times: str = "1") -> str:
