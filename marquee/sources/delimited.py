@@ -15,7 +15,9 @@ from dataclasses import dataclass, field, replace
 from typing import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType, _parse_datatype_string
+
+from marquee.sources.multiline import read_multiline
 
 
 @dataclass(frozen=True)
@@ -59,7 +61,7 @@ class Profile:
 
 # Fixed layouts of the inputs the reports are written for.
 # RFC-4180 CSV: comma, header, '"' quotes doubled inside fields, fields may
-# span lines. Multi-line files are not splittable: one task per file.
+# span lines.
 RFC4180_CSV = Profile("rfc4180_csv", sep=",", header=True, quote='"', escape='"',
                       multi_line=True)
 # Plain comma CSV with header, quotes honoured, one record per line.
@@ -75,14 +77,21 @@ PIPE_CSV = Profile("pipe_csv", sep="|", header=True, quote='"', escape='"')
 def read_delimited(spark: SparkSession, path: str | Iterable[str], profile: Profile,
                    schema: StructType | str | None = None,
                    names: Iterable[str] | None = None,
-                   infer: bool = False) -> DataFrame:
+                   infer: bool = False, splittable: bool = True) -> DataFrame:
     """Read delimited text.
 
     schema  explicit schema, bound to fields by position (header names are
             not checked); preferred: no inference job, typed from the start.
     names   rename all columns by position after reading (headerless files).
     infer   let Spark infer types (two eager passes over the data).
+    splittable  with a schema, multi-line files whose quotes are escaped by
+            doubling are read by many tasks (see ``multiline``; rows then come
+            in no particular order). False: one task a file, rows in file order.
     """
+    if splittable and schema is not None and _splits(profile):
+        typed = _parse_datatype_string(schema) if isinstance(schema, str) else schema
+        df = read_multiline(spark, path, typed, profile.options())
+        return df if names is None else df.toDF(*names)
     reader = spark.read.options(**profile.options())
     if schema is not None:
         reader = reader.schema(schema)
@@ -95,8 +104,15 @@ def read_delimited(spark: SparkSession, path: str | Iterable[str], profile: Prof
     return df
 
 
+def _splits(profile: Profile) -> bool:
+    """Can records be told apart by counting quotes, and parsed one by one?"""
+    return (profile.multi_line and bool(profile.quote) and profile.escape == profile.quote
+            and str(profile.extra.get("mode", "PERMISSIVE")).upper() != "DROPMALFORMED"
+            and "lineSep" not in profile.extra and "comment" not in profile.extra)
+
+
 def read_by_header(spark: SparkSession, path: str, profile: Profile,
-                   schema: StructType) -> DataFrame:
+                   schema: StructType, splittable: bool = True) -> DataFrame:
     """Read a headed file whose column order is unknown, typing columns by name.
 
     The header is read first (a one-line job), then the file is read with the
@@ -107,7 +123,7 @@ def read_by_header(spark: SparkSession, path: str, profile: Profile,
     header_cols = read_delimited(spark, path, profile).columns
     by_name = {f.name: f for f in schema.fields}
     ordered = StructType([by_name.get(c, StructField(c, StringType(), True)) for c in header_cols])
-    return read_delimited(spark, path, profile, schema=ordered)
+    return read_delimited(spark, path, profile, schema=ordered, splittable=splittable)
 
 
 def write_delimited(df: DataFrame, path: str, profile: Profile, mode: str = "errorifexists") -> None:

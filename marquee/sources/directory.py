@@ -52,6 +52,7 @@ def read_directory(spark: SparkSession, directory: str, profile: Profile = PLAIN
                   into the same directory, so a re-run never ingests itself.
     schemas       declared types by table name, bound by header name: such a
                   table is read without the inference pass over its data.
+                  Rows keep their file's order, as those of inferred tables do.
     skipped       receives ``(table_name, reason)`` of every file left out.
 
     A file that Spark cannot understand as a table (an analysis or parse error,
@@ -69,7 +70,7 @@ def read_directory(spark: SparkSession, directory: str, profile: Profile = PLAIN
         name, path = entry
         try:
             if schemas and name in schemas:
-                df = read_by_header(spark, path, profile, schemas[name])
+                df = read_by_header(spark, path, profile, schemas[name], splittable=False)
             else:
                 df = read_delimited(spark, path, profile, infer=infer)
         except AnalysisException as error:  # ParseException is one too
