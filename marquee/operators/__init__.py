@@ -8,9 +8,10 @@ from marquee.operators.aggregates import (avg_by_key, avg_by_packed_key, bucket_
 from marquee.operators.clean import (all_of, cast_columns, drop_nulls, drop_present, first_wins,
                                      keep_matching, nullify_sentinels, rename_columns)
 from marquee.operators.concat import concat_columns, positional_index
+from marquee.operators.heavy import heavy_buckets, split_join
 from marquee.operators.joins import full_outer_counts, join_on
 from marquee.operators.profile import table_profile
-from marquee.operators.ranking import rank_within, top_k, top_n_per_group, value_ranks
+from marquee.operators.ranking import prefix_counts, rank_within, top_k, top_n_per_group, value_ranks
 
 __all__ = [
     "avg_by_key", "avg_by_packed_key", "bucket_avg", "bucket_expr", "count_by_key", "era_change",
@@ -19,5 +20,5 @@ __all__ = [
     "cast_columns", "drop_nulls", "drop_present", "first_wins", "keep_matching",
     "nullify_sentinels", "rename_columns", "concat_columns", "positional_index",
     "sql_forms", "full_outer_counts", "join_on", "table_profile", "rank_within",
-    "top_k", "top_n_per_group", "value_ranks",
+    "top_k", "top_n_per_group", "value_ranks", "heavy_buckets", "split_join", "prefix_counts",
 ]

@@ -6,7 +6,8 @@ it: a hot group key is collapsed to one row per map task before it is sent
 anywhere, and the shuffle carries at most (#groups x #map tasks) rows.
 ``avg_by_packed_key`` and ``score_by_label`` also reduce the fact rows per join
 key before the join; ``avg_by_key`` cannot without a second exchange of them
-(its groups are not the join key) and leaves a hot key to the skew-join split.
+(its groups are not the join key); a hot key is left to the skew-join split or,
+on request, dealt out by ``heavy.split_join``.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.scalar import split_packed
 from marquee.operators.clean import all_of
+from marquee.operators.heavy import split_join
 from marquee.operators.joins import full_outer_counts
 
 
@@ -55,7 +57,7 @@ def _keys_of(on: str | Sequence[tuple[str, str]], side: int) -> list[str]:
 
 
 def avg_by_key(parent: DataFrame, child: DataFrame, on: str | Sequence[tuple[str, str]],
-               group: str, value: str, out: str = "avg_value") -> DataFrame:
+               group: str, value: str, out: str = "avg_value", split_heavy: bool = False) -> DataFrame:
     """Mean of a parent value per child group, across a 1:N parent-child join.
 
     A parent row counts once per matching child row (fan-out), exactly as if
@@ -65,9 +67,13 @@ def avg_by_key(parent: DataFrame, child: DataFrame, on: str | Sequence[tuple[str
     Plan: child rows are exchanged once, for the join; the mean is made by
     partial aggregation right above it, so only one row per group and task is
     shuffled after. A join key that holds a large share of the rows is split by
-    adaptive execution's skew join.
+    adaptive execution's skew join, or, with ``split_heavy`` (key pairs only), by
+    ``split_join``, at the price of one more scan of the child's keys.
     """
     pairs = _keys_of(on, 1)
+    if split_heavy:
+        joined = split_join(child.select(*dict.fromkeys([*pairs, group])), parent, [(b, a) for a, b in on])
+        return joined.groupBy(group).agg(F.avg(value).alias(out)).orderBy(group)
     joined = parent.join(child.select(*dict.fromkeys([*pairs, group])), _join_cond(parent, child, on), "inner")
     return joined.groupBy(group).agg(F.avg(value).alias(out)).orderBy(group)
 

@@ -11,12 +11,16 @@ all rows that tie with it; both forms here work on values instead of rows:
     row's, and every row that beats such a value is among those n, so ranks
     within them are the true ranks. At most n rows a group are joined back.
 ``rank_within``  every row's rank, as one more than the rows of its group with
-    a better value: rows are counted per (group, value) with partial
-    aggregation, the window adds the counts up over distinct values.
-
-Both are lazy: no job runs before the result is asked for, and the size of the
-joined side decides the join at run time (adaptive execution broadcasts a small
-one and splits a (group, value) key that holds a large share of the rows).
+    a better value, by distributed prefix counts: rows are counted per (group,
+    value) with partial aggregation; the counts are range-partitioned by group
+    and value, so that a group, however large, is cut into bins of consecutive
+    values; a bin's values are ranked inside the bin, from the sum of the bins
+    before it (one row a bin and group).
+
+The first is lazy; the second checkpoints the counts, since the borders of the
+bins are drawn from a sample and both readers must see the same bins. The size of
+the joined side decides the join at run time (adaptive execution broadcasts a
+small one and splits a (group, value) key that holds a large share of the rows).
 """
 
 from __future__ import annotations
@@ -26,6 +30,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.session import checkpoint_dir
+
 
 def _ordering(value: str, descending: bool) -> Column:
     c = F.col(value)
@@ -39,14 +45,37 @@ def _join_ranks(df: DataFrame, ranks: DataFrame, group: str, value: str, rank_co
     return df.join(side, cond, "inner").drop("_g", "_v")
 
 
+def prefix_counts(counts: DataFrame, group: str, value: str, descending: bool, n: str, out: str,
+                  bins: int | None = None) -> DataFrame:
+    """``counts`` (one row a group and value) with the sum of ``n`` over the better values of its group.
+
+    No task holds a group: bins of consecutive (group, value) are added up each
+    by itself, then each starts from the sum of those before it. ``bins``:
+    number of range partitions (default: the session's shuffle partitions).
+    """
+    checkpoint_dir(counts.sparkSession)
+    order = _ordering(value, descending)
+    cut = [F.col(group).asc_nulls_first(), order]
+    binned = (counts.repartitionByRange(*([bins] if bins else []), *cut)
+              .withColumn("_bin", F.spark_partition_id()).checkpoint(eager=True))
+    whole = binned.groupBy(group, "_bin").agg(F.sum(n).alias("_in_bin"))
+    before = Window.partitionBy(group).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    starts = whole.select(F.col(group).alias("_g"), F.col("_bin").alias("_b"),
+                          F.coalesce(F.sum("_in_bin").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy(group, "_bin").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = binned.withColumn("_inside", F.coalesce(F.sum(n).over(inside), F.lit(0)))
+    same = placed[group].eqNullSafe(starts["_g"]) & (placed["_bin"] == starts["_b"])
+    return (placed.join(starts, same).withColumn(out, F.col("_inside") + F.col("_start"))
+            .select(*counts.columns, out))
+
+
 def rank_within(df: DataFrame, group: str, value: str, descending: bool = True,
-                rank_col: str = "rank") -> DataFrame:
+                rank_col: str = "rank", bins: int | None = None) -> DataFrame:
     """Add ``rank()`` of ``value`` within ``group`` (ties share a rank, then gaps)."""
     counts = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
-    above = (Window.partitionBy(group).orderBy(_ordering(value, descending))
-             .rowsBetween(Window.unboundedPreceding, -1))
-    rank = F.coalesce(F.sum("_n").over(above), F.lit(0)) + 1
-    return _join_ranks(df, counts.select(group, value, rank.cast("int").alias(rank_col)), group, value, rank_col)
+    placed = prefix_counts(counts, group, value, descending, "_n", "_better", bins)
+    rank = (F.col("_better") + 1).cast("int").alias(rank_col)
+    return _join_ranks(df, placed.select(group, value, rank), group, value, rank_col)
 
 
 def value_ranks(df: DataFrame, group: str, value: str, n: int, descending: bool = True,

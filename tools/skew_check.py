@@ -16,6 +16,7 @@ import glob
 import io
 import json
 import os
+import statistics
 import sys
 import tempfile
 import time
@@ -26,7 +27,7 @@ from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, ".")
-from marquee.operators import avg_by_key, avg_by_packed_key, rank_within, top_n_per_group  # noqa: E402
+from marquee.operators import avg_by_key, avg_by_packed_key, rank_within, split_join, top_n_per_group  # noqa: E402
 from marquee.sources.tables import read_table  # noqa: E402
 
 
@@ -105,6 +106,16 @@ def main():
     def child_mean():
         return avg_by_key(orders, lines, [("o_orderkey", "l_orderkey")], "l_returnflag", "o_totalprice")
 
+    def child_mean_split():
+        return avg_by_key(orders, lines, [("o_orderkey", "l_orderkey")], "l_returnflag", "o_totalprice",
+                          split_heavy=True)
+
+    def part_lines_split():
+        return split_join(lines, part, [("l_partkey", "p_partkey")]).groupBy("p_brand").agg(F.sum("l_quantity"))
+
+    # One group with all rows and nearly all-distinct values.
+    one_group = lines.select(F.lit(1).alias("g"), (F.col("l_extendedprice") * 1000 + F.col("l_linenumber")).alias("v"))
+
     def plain_packed():
         j = part.join(lines, part["p_partkey"] == lines["l_partkey"])
         return (j.select(F.explode(F.split("p_name", " ")).alias("w"), "l_extendedprice")
@@ -123,6 +134,11 @@ def main():
     variants = {
         "child_mean_no_skew_join": (child_mean, off),
         "child_mean": (child_mean, scaled),
+        "child_mean_split_join": (child_mean_split, off),
+        "part_lines_split_join": (part_lines_split, off),
+        "one_group_textbook_rank": (lambda: one_group.withColumn(
+            "rank", F.rank().over(Window.partitionBy("g").orderBy(F.col("v").desc()))), off),
+        "one_group_rank_within": (lambda: rank_within(one_group, "g", "v"), off),
         "packed_mean_plain_join": (plain_packed, off),
         "packed_mean_avg_by_packed_key": (lambda: avg_by_packed_key(
             part, lines, [("p_partkey", "l_partkey")], "p_name", "l_extendedprice", sep=" "), off),
@@ -163,12 +179,15 @@ def main():
     print(f"hot rows: {share:.1%} of {sf_dir}")
     print(f"AQE splits a plain join's hot partition (fact side from 16 map tasks, "
           f"thresholds scaled to this size): {aqe_split}")
-    print(f"{'variant':34s} {'wall s':>7s} {'max task recs':>14s} {'straggler':>10s}")
+    print(f"{'variant':34s} {'wall s':>7s} {'max task recs':>14s} {'median':>9s} {'straggler':>10s}")
     for name in variants:
         stages = [v for (n, _), v in per_stage.items() if n == name and sum(v)]
         biggest = max((max(v) for v in stages), default=0)
+        # median of the stage that has the largest task, over tasks with rows
+        widest = max(stages, key=max, default=[0])
+        middle = statistics.median([x for x in widest if x] or [0])
         worst = max((max(v) / (sum(v) / len(v)) for v in stages if len(v) > 1), default=1.0)
-        print(f"{name:34s} {wall[name]:7.2f} {biggest:14d} {worst:9.1f}x")
+        print(f"{name:34s} {wall[name]:7.2f} {biggest:14d} {middle:9.0f} {worst:9.1f}x")
 
 
 if __name__ == "__main__":
