@@ -11,7 +11,10 @@ from marquee.operators.concat import concat_columns, positional_index
 from marquee.operators.heavy import heavy_buckets, split_join
 from marquee.operators.joins import full_outer_counts, join_on
 from marquee.operators.profile import table_profile
-from marquee.operators.ranking import prefix_counts, rank_within, top_k, top_n_per_group, value_ranks
+from marquee.operators.ranking import (prefix_counts, rank_within, top_k, top_n_by_rank, top_n_per_group,
+                                       value_ranks)
+from marquee.operators.rollup import (EXACT, bucket_of_states, era_of_states, exact_mean, mean_states,
+                                      stats_of_states)
 
 __all__ = [
     "avg_by_key", "avg_by_packed_key", "bucket_avg", "bucket_expr", "count_by_key", "era_change",
@@ -21,4 +24,5 @@ __all__ = [
     "nullify_sentinels", "rename_columns", "concat_columns", "positional_index",
     "sql_forms", "full_outer_counts", "join_on", "table_profile", "rank_within",
     "top_k", "top_n_per_group", "value_ranks", "heavy_buckets", "split_join", "prefix_counts",
+    "top_n_by_rank", "EXACT", "bucket_of_states", "era_of_states", "exact_mean", "mean_states", "stats_of_states",
 ]

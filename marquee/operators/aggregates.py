@@ -12,7 +12,7 @@ on request, dealt out by ``heavy.split_join``.
 
 from __future__ import annotations
 
-from typing import Iterable, Sequence
+from typing import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,7 +57,8 @@ def _keys_of(on: str | Sequence[tuple[str, str]], side: int) -> list[str]:
 
 
 def avg_by_key(parent: DataFrame, child: DataFrame, on: str | Sequence[tuple[str, str]],
-               group: str, value: str, out: str = "avg_value", split_heavy: bool = False) -> DataFrame:
+               group: str, value: str, out: str = "avg_value", split_heavy: bool = False,
+               mean: Callable[[str], Column] = F.avg) -> DataFrame:
     """Mean of a parent value per child group, across a 1:N parent-child join.
 
     A parent row counts once per matching child row (fan-out), exactly as if
@@ -68,14 +69,15 @@ def avg_by_key(parent: DataFrame, child: DataFrame, on: str | Sequence[tuple[str
     partial aggregation right above it, so only one row per group and task is
     shuffled after. A join key that holds a large share of the rows is split by
     adaptive execution's skew join, or, with ``split_heavy`` (key pairs only), by
-    ``split_join``, at the price of one more scan of the child's keys.
+    ``split_join``, at the price of one more scan of the child's keys. ``mean``: the
+    aggregate (``rollup.exact_mean`` gives the same digits in any row order).
     """
     pairs = _keys_of(on, 1)
     if split_heavy:
         joined = split_join(child.select(*dict.fromkeys([*pairs, group])), parent, [(b, a) for a, b in on])
-        return joined.groupBy(group).agg(F.avg(value).alias(out)).orderBy(group)
+        return joined.groupBy(group).agg(mean(value).alias(out)).orderBy(group)
     joined = parent.join(child.select(*dict.fromkeys([*pairs, group])), _join_cond(parent, child, on), "inner")
-    return joined.groupBy(group).agg(F.avg(value).alias(out)).orderBy(group)
+    return joined.groupBy(group).agg(mean(value).alias(out)).orderBy(group)
 
 
 def explode_packed(df: DataFrame, packed: str, sep: str, as_name: str) -> DataFrame:
@@ -85,7 +87,7 @@ def explode_packed(df: DataFrame, packed: str, sep: str, as_name: str) -> DataFr
 
 def avg_by_packed_key(left: DataFrame, right: DataFrame, on: str | Sequence[tuple[str, str]],
                       packed: str, value: str, sep: str = ",", exclude: Iterable[str] = (),
-                      group: str = "genre", out: str = "avg_value") -> DataFrame:
+                      group: str = "genre", out: str = "avg_value", exact: str | None = None) -> DataFrame:
     """Mean of ``value`` (from ``right``) per element of ``left``'s packed column.
 
     Same result as: join on ``on``, split ``packed`` on the literal ``sep``,
@@ -97,12 +99,15 @@ def avg_by_packed_key(left: DataFrame, right: DataFrame, on: str | Sequence[tupl
     join and the explode see one row per key instead of one per fact row, and
     a hot key cannot make one join task large. Excluded elements are
     filtered on the group key, which Catalyst applies below the aggregate.
+    ``exact``: a decimal type to add the values in (see ``rollup``).
     """
     right_keys = _keys_of(on, 1)
-    sums = right.groupBy(*right_keys).agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
+    v = F.col(value) if exact is None else F.col(value).try_cast(exact)
+    sums = right.groupBy(*right_keys).agg(F.sum(v).alias("_s"), F.count(v).alias("_n"))
     joined = left.join(sums, _join_cond(left, sums, on), "inner")
     exploded = explode_packed(joined, packed, sep, group).select(group, "_s", "_n")
-    means = exploded.groupBy(group).agg(F.try_divide(F.sum("_s"), F.sum("_n")).alias(out))
+    total = F.sum("_s") if exact is None else F.sum("_s").cast("double")
+    means = exploded.groupBy(group).agg(F.try_divide(total, F.sum("_n")).alias(out))
     excluded = list(exclude)
     keep = F.col(group).isNotNull()
     if excluded:
@@ -195,9 +200,13 @@ def score_partials(df: DataFrame, keys: Sequence[str], rating: str, weight: str,
 
 def score_from_partials(df: DataFrame, keys: Sequence[str], count_name: str = "row_count",
                         avg_name: str = "avg_rating", total_name: str = "total_weight",
-                        score_name: str = "score") -> DataFrame:
-    """Combine partial states per key into the columns of ``score_by_group``."""
+                        score_name: str = "score", divide_as: str | None = None) -> DataFrame:
+    """Combine partial states per key into the columns of ``score_by_group``.
+
+    ``divide_as``: the type that the rating's sum is divided in (default: its own).
+    """
     rating, rated, total = F.sum(_P_RSUM), F.sum(_P_RCNT), F.sum(_P_WSUM)
+    rating = rating if divide_as is None else rating.cast(divide_as)
     return df.groupBy(*_keys(keys)).agg(F.sum(_P_ROWS).alias(count_name),
                                         F.try_divide(rating, rated).alias(avg_name), total.alias(total_name),
                                         F.try_divide(total * rating, rated).alias(score_name))
@@ -206,7 +215,8 @@ def score_from_partials(df: DataFrame, keys: Sequence[str], count_name: str = "r
 def score_by_label(df: DataFrame, group: str, id_col: str, labels: DataFrame, label_key: str,
                    label: str, rating: str, weight: str, label_name: str | None = None,
                    times: str | None = None, count_name: str = "row_count", avg_name: str = "avg_rating",
-                   total_name: str = "total_weight", score_name: str = "score") -> DataFrame:
+                   total_name: str = "total_weight", score_name: str = "score",
+                   divide_as: str | None = None) -> DataFrame:
     """``score_by_group`` of ``df JOIN labels ON id_col = label_key`` by (group, label).
 
     Same result, cheaper plan: the rows are first reduced to one partial
@@ -220,4 +230,4 @@ def score_by_label(df: DataFrame, group: str, id_col: str, labels: DataFrame, la
                                        F.col(label).alias(label_name)),
                          F.col(id_col) == F.col("_label_key"), "inner")
     return score_from_partials(named, [group, label_name], count_name, avg_name, total_name,
-                               score_name)
+                               score_name, divide_as)

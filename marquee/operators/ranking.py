@@ -78,6 +78,18 @@ def rank_within(df: DataFrame, group: str, value: str, descending: bool = True,
     return _join_ranks(df, placed.select(group, value, rank), group, value, rank_col)
 
 
+def top_n_by_rank(df: DataFrame, group: str, value: str, n: int, descending: bool = True,
+                  rank_col: str = "rank") -> DataFrame:
+    """The rows of ``top_n_per_group`` in one scan and without a join back.
+
+    ``rank() <= n`` is planned as a group limit in every map task: what is
+    shuffled is each task's n best rows a group and those that tie with them. Use
+    it where ties of the n-th value are few or wanted in one task.
+    """
+    w = Window.partitionBy(group).orderBy(_ordering(value, descending))
+    return df.withColumn(rank_col, F.rank().over(w)).where(F.col(rank_col) <= n)
+
+
 def value_ranks(df: DataFrame, group: str, value: str, n: int, descending: bool = True,
                 rank_col: str = "rank") -> DataFrame:
     """(group, value, rank) for every distinct value whose rank is <= n."""

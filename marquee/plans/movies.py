@@ -26,9 +26,9 @@ from pyspark.sql.types import (DoubleType, FloatType, IntegerType, StringType, S
                                StructType)
 
 from marquee.functions.scalar import is_year_text, to_int
-from marquee.operators import (all_of, avg_by_key, avg_by_packed_key, bucket_avg, concat_columns,
-                               drop_nulls, era_change, group_stats, score_by_label,
-                               top_n_per_group, two_source_counts)
+from marquee.operators import (EXACT, all_of, avg_by_key, avg_by_packed_key, bucket_of_states, concat_columns,
+                               drop_nulls, era_of_states, exact_mean, mean_states, score_by_label,
+                               stats_of_states, top_n_by_rank, two_source_counts)
 from marquee.sources import (IMDB_TSV, IMDB_TSV_HEADERLESS, PIPE_CSV, RFC4180_CSV, Profile,
                              read_by_header, read_delimited, read_directory, write_delimited)
 
@@ -142,7 +142,7 @@ def high_rated_by_year(movies: DataFrame, basics: DataFrame, ratings: DataFrame,
 def avg_rating_by_genre(movies: DataFrame, genres: DataFrame, min_minutes: int = 60) -> DataFrame:
     """genre, avg_rating over films of >= min_minutes (child genre table)."""
     long_films = movies.where(F.col("minute") >= min_minutes).select("id", "rating")
-    return avg_by_key(long_films, genres, "id", "genre", "rating", "avg_rating")
+    return avg_by_key(long_films, genres, "id", "genre", "rating", "avg_rating", mean=exact_mean)
 
 
 # Fixed value: the genre left out of the packed-genre report.
@@ -155,7 +155,7 @@ def avg_rating_by_packed_genre(basics: DataFrame, ratings: DataFrame,
     titles = basics.filter(F.col("runtimeMinutes") >= min_minutes).select("tconst", "genres")
     return avg_by_packed_key(titles, ratings.select("tconst", "averageRating"), "tconst",
                              "genres", "averageRating", sep=",", exclude=[EXCLUDED_GENRE],
-                             group="genre", out="avg_rating")
+                             group="genre", out="avg_rating", exact=EXACT)
 
 
 # ------------------------------------------------------ P3: trend reports
@@ -174,19 +174,28 @@ def clean_combined(df: DataFrame) -> DataFrame:
 # top_movies_per_year: year, title, genre, rating, rank;
 # decade_avg_ratings: decade, avg_rating_decade;
 # genre_trends: genre, avg_pre_2000, avg_post_2000, rating_change).
-def trend_reports(df: DataFrame, top_n: int = 5) -> dict[str, DataFrame]:
-    """The four trend reports over a cleaned combined table (lazy DataFrames)."""
-    top = (top_n_per_group(df, "year", "rating", top_n)
+def trend_states(df: DataFrame) -> DataFrame:
+    """Rating sums and counts by year and genre, which three of the trend reports are made of."""
+    return mean_states(df, ["year", "genre"], "rating")
+
+
+def trend_reports(df: DataFrame, top_n: int = 5, states: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The four trend reports over a cleaned combined table (lazy DataFrames).
+
+    Three are rolled up from ``states`` (default: ``trend_states(df)``). In one
+    query they share the states' scan; pass checkpointed states to share it
+    between queries.
+    """
+    states = trend_states(df) if states is None else states
+    top = (top_n_by_rank(df, "year", "rating", top_n)
            .select("year", "title", "genre", "rating", "rank")
            .orderBy("year", "rank", "title"))
     return {
-        "yearly_genre_ratings": group_stats(df, ["year", "genre"], "rating", "avg_rating",
-                                            "movie_count"),
+        "yearly_genre_ratings": stats_of_states(states, ["year", "genre"], "avg_rating", "movie_count"),
         "top_movies_per_year": top,
-        "decade_avg_ratings": bucket_avg(df, "year", "rating", 10, "trunc", "decade",
-                                         "avg_rating_decade"),
-        "genre_trends": era_change(df, "genre", "year", 2000, "rating", "avg_pre_2000",
-                                   "avg_post_2000", "rating_change"),
+        "decade_avg_ratings": bucket_of_states(states, "year", 10, "trunc", "decade", "avg_rating_decade"),
+        "genre_trends": era_of_states(states, "genre", "year", 2000, "avg_pre_2000", "avg_post_2000",
+                                      "rating_change"),
     }
 
 
@@ -215,6 +224,10 @@ def write_combined(df: DataFrame, path: str, mode: str = "errorifexists") -> Non
 
 # ------------------------------------------------------ P4: actor influence
 
+# Ratings have one decimal; as decimals their sums are the same in any row order.
+RATING = "DECIMAL(9, 4)"
+
+
 def actor_credits(movies: DataFrame, genres: DataFrame, basics: DataFrame, ratings: DataFrame,
                   principals: DataFrame, min_rating: float = 4.0) -> DataFrame:
     """genre, nconst, averageRating, numVotes, credits per (film, title, genre, person).
@@ -230,7 +243,8 @@ def actor_credits(movies: DataFrame, genres: DataFrame, basics: DataFrame, ratin
     credits = principals.groupBy("tconst", "nconst").agg(F.count(F.lit(1)).alias("credits"))
     people = (films.join(basics.select("tconst", "primaryTitle", "startYear"), ["primaryTitle", "startYear"])
               .select("id", "tconst")
-              .join(ratings, "tconst").join(credits, "tconst")
+              .join(ratings.withColumn("averageRating", F.col("averageRating").try_cast(RATING)), "tconst")
+              .join(credits, "tconst")
               .select("id", "nconst", "averageRating", "numVotes", "credits"))
     film_genres = films.select("id").join(genres, "id")
     return people.join(film_genres, "id").select("genre", "nconst", "averageRating", "numVotes", "credits")
@@ -248,7 +262,7 @@ def actor_influence(movies: DataFrame, genres: DataFrame, basics: DataFrame, rat
     return (score_by_label(credits, "genre", "nconst", names, "nconst", "primaryName",
                            rating="averageRating", weight="numVotes", times="credits", label_name="actor_name",
                            count_name="movie_count", avg_name="avg_rating",
-                           total_name="total_votes", score_name="influence_score")
+                           total_name="total_votes", score_name="influence_score", divide_as="double")
             .orderBy(F.col("influence_score").desc()))
 
 

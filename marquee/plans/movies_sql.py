@@ -14,6 +14,7 @@ from __future__ import annotations
 from typing import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marquee.functions.scalar import YEAR_PATTERN
 from marquee.operators import sql_forms
@@ -39,7 +40,7 @@ def high_rated_by_year_sql(spark: SparkSession, movies: DataFrame, basics: DataF
 
 def avg_rating_by_genre_sql(spark: SparkSession, movies: DataFrame, genres: DataFrame) -> DataFrame:
     text = sql_forms.avg_by_key_sql("(SELECT id, rating FROM {movies} WHERE minute >= 60)", "{genres}", "id",
-                                    "genre", "rating", "avg_rating")
+                                    "genre", "rating", "avg_rating", sql_forms.exact_mean)
     return spark.sql(text, movies=movies, genres=genres)
 
 
@@ -47,27 +48,34 @@ def avg_rating_by_packed_genre_sql(spark: SparkSession, basics: DataFrame,
                                    ratings: DataFrame) -> DataFrame:
     text = sql_forms.avg_by_packed_key_sql("(SELECT tconst, genres FROM {basics} WHERE runtimeMinutes >= 60)",
                                            "{ratings}", "tconst", "genres", "averageRating", ",", EXCLUDED_GENRE,
-                                           "genre", "avg_rating")
+                                           "genre", "avg_rating", sql_forms.EXACT)
     return spark.sql(text, basics=basics, ratings=ratings)
 
 
-def trend_reports_sql(spark: SparkSession, movies: DataFrame) -> dict[str, DataFrame]:
-    """The four trend reports as SQL over a cleaned combined table.
+def trend_states_sql(spark: SparkSession, movies: DataFrame) -> DataFrame:
+    """Rating sums and counts by year and genre, which three of the trend reports are made of."""
+    return spark.sql(sql_forms.mean_states_sql("{movies}", ["year", "genre"], "rating"), movies=movies)
+
+
+def trend_reports_sql(spark: SparkSession, movies: DataFrame, states: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The four trend reports as SQL over a cleaned combined table, three of them from shared states.
 
     The decade here floors (bigint); the DataFrame form truncates toward zero
     (int). They differ only for negative years.
     """
     texts = {
-        "yearly_genre_ratings_sql": sql_forms.group_stats_sql(
-            "{movies}", ["year", "genre"], "rating", "avg_rating", "movie_count"),
+        "yearly_genre_ratings_sql": sql_forms.stats_of_states_sql(
+            "{states}", ["year", "genre"], "avg_rating", "movie_count"),
         "top_movies_per_year_sql": sql_forms.top_n_per_group_sql(
             "{movies}", ["year", "title", "genre", "rating"], "year", "rating", 5, "rank"),
-        "decade_avg_ratings_sql": sql_forms.bucket_avg_sql(
-            "{movies}", "year", "rating", 10, "decade", "avg_rating_decade"),
-        "genre_trends_sql": sql_forms.era_change_sql(
-            "{movies}", "genre", "year", 2000, "rating", "avg_pre_2000", "avg_post_2000", "rating_change"),
+        "decade_avg_ratings_sql": sql_forms.bucket_of_states_sql(
+            "{states}", "year", 10, "decade", "avg_rating_decade"),
+        "genre_trends_sql": sql_forms.era_of_states_sql(
+            "{states}", "genre", "year", 2000, "avg_pre_2000", "avg_post_2000", "rating_change"),
     }
-    return {name: spark.sql(text, movies=movies) for name, text in texts.items()}
+    bound = {"movies": movies, "states": trend_states_sql(spark, movies) if states is None else states}
+    return {name: spark.sql(text, **{k: df for k, df in bound.items() if f"{{{k}}}" in text})
+            for name, text in texts.items()}
 
 
 # Credits per (film, person), then per genre of the film: films are the shared
@@ -79,7 +87,8 @@ _CREDITS = """(
             people AS (
                 SELECT id, nconst, averageRating, numVotes, credits
                 FROM films JOIN (SELECT tconst, primaryTitle, startYear FROM {basics}) USING (primaryTitle, startYear)
-                     JOIN {ratings} USING (tconst)
+                     JOIN (SELECT tconst, TRY_CAST(averageRating AS DECIMAL(9, 4)) AS averageRating, numVotes
+                           FROM {ratings}) USING (tconst)
                      JOIN (SELECT tconst, nconst, COUNT(*) AS credits FROM {principals} GROUP BY tconst, nconst)
                           USING (tconst)
             )
@@ -97,7 +106,8 @@ def actor_influence_sql(spark: SparkSession, tables: Mapping[str, DataFrame]) ->
     ``tables`` needs movies, genres, basics, ratings, principals, names.
     """
     keys = ("movies", "genres", "basics", "ratings", "principals", "names")
-    return spark.sql(ACTOR_INFLUENCE, **{k: tables[k] for k in keys})
+    found = spark.sql(ACTOR_INFLUENCE, **{k: tables[k] for k in keys})
+    return found.withColumns({c: F.col(c).cast("double") for c in ("avg_rating", "influence_score")})
 
 
 def register_inputs(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:

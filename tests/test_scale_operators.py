@@ -126,3 +126,56 @@ def test_heavy_keys_are_found_and_dealt_out(spark, no_broadcast):
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_exact_means_do_not_depend_on_the_order_of_rows(spark):
+    from marquee.operators import exact_mean, mean_states, sql_forms, stats_of_states
+
+    rng = random.Random(8)
+    values = [rng.choice([0.1, 1e15, -1e15, 4.3, 1 / 3, None]) for _ in range(3000)] + [float("nan"), float("inf")]
+    plain, digits = set(), set()
+    for seed in range(4):
+        random.Random(seed).shuffle(values)
+        df = spark.createDataFrame([(1, v) for v in values], "g INT, v DOUBLE").repartition(seed + 1)
+        plain.add(df.where("not isnan(v) and v <> double('inf')").agg(F.avg("v")).first()[0])
+        text = f"SELECT {sql_forms.exact_mean('v')} FROM {{df}}"
+        digits |= {df.agg(exact_mean("v")).first()[0], spark.sql(text, df=df).first()[0],
+                   stats_of_states(mean_states(df, ["g"], "v"), ["g"], "m", "n").first()["m"]}
+    assert len(digits) == 1 and len(plain) > 1
+    nothing = spark.createDataFrame([(None,), (float("nan"),)], "v DOUBLE")
+    assert nothing.agg(exact_mean("v")).first()[0] is None
+
+
+def test_film_influence_has_the_same_digits_in_any_partitioning(spark):
+    from marquee.plans import movies, movies_sql
+
+    rng = random.Random(9)
+    n = 400
+    films = spark.createDataFrame([(i, f"t{i}", "2001", None, None, 90, 4.5) for i in range(n)], movies.MOVIES_SCHEMA)
+    genres = spark.createDataFrame([(i, "Drama") for i in range(n)], movies.GENRES_SCHEMA)
+    basics = spark.createDataFrame([(f"tt{i}", "movie", f"t{i}", f"t{i}", 0, 2001, None, 90, "Drama") for i in range(n)],
+                                   movies.BASICS_SCHEMA)
+    ratings = spark.createDataFrame([(f"tt{i}", rng.randrange(10, 100) / 10, rng.randrange(1, 10**6)) for i in range(n)],
+                                    movies.RATINGS_SCHEMA)
+    principals = spark.createDataFrame([(f"tt{i}", 1, "nm1", "actor", None, None) for i in range(n)],
+                                       movies.PRINCIPALS_SCHEMA)
+    names = spark.createDataFrame([("nm1", "One", None, None, None, None)], movies.NAMES_SCHEMA)
+    seen = set()
+    for parts in (1, 3, 7):
+        dealt = [t.repartition(parts) for t in (films, genres, basics, ratings, principals, names)]
+        keys = ("movies", "genres", "basics", "ratings", "principals", "names")
+        seen.add((tuple(movies.actor_influence(*dealt).first()),
+                  tuple(movies_sql.actor_influence_sql(spark, dict(zip(keys, dealt))).first())))
+    assert len(seen) == 1
+
+
+def test_trend_packs_read_their_rows_twice(spark):
+    from conftest import SMALL_SF
+    from marquee.plans import catalog
+
+    for query in (catalog.trend_pack_df, catalog.trend_pack_sql):
+        df = query(spark, SMALL_SF)
+        df.collect()
+        final = plan(df).split("Initial Plan")[0]
+        assert final.count("Scan parquet") <= 2, final.count("Scan parquet")
+        assert final.count("ReusedExchange") >= 2
