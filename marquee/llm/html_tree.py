@@ -33,9 +33,11 @@ _CLOSES_P = frozenset("address article aside blockquote center details dialog di
                       "footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section "
                       "table ul li dt dd".split())
 
+# A quote opens a quoted value only after "="; one that is never closed ends with its tag.
+_VALUE = r"""\"[^"]*+"|'[^']*+'|["'][^>]*+|[^\s>"'][^\s>]*+"""
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?"""
-                    r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?:>|\Z)""", re.S)
-_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]+)|([^\s"'>/=]+)""")
+                    r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:%s)?+)*+)(?:>|\Z)""" % _VALUE, re.S)
+_ATTRIBUTE = re.compile(r"""([^\s>/=]+)\s*+=\s*+(%s)|([^\s>/=]+)""" % _VALUE)
 _SKIPPED = re.compile(r"<(?:%s)\b" % "|".join(sorted(SKIPPED)), re.I)
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
 

@@ -123,3 +123,40 @@ def test_icons_leave_links_and_paragraphs_as_they_are():
 def test_many_open_elements_take_linear_time():
     for name in ("video", "svg", "select", "object"):
         assert blocks(f"<div><p>a</p>{f'<{name}>' * 30_000}<p>b</p></div>") == ["a", "b"]
+
+
+@pytest.mark.parametrize("tag", ["<p><a href=/it's>", "<p don't>", "<p title=it's class=a'b>", "<p class='a\"b'>", '<p class="it\'s">',
+                                 "<p a = 'x>y' b>", "<p data-x==\"'>", "<p =\">", '<p "quoted">', "<p title=>"])
+def test_quotes_open_a_value_only_after_an_equals_sign(tag):
+    assert blocks(f"<div><p>one</p>{tag}two</p><p>it's three</p></div>") == ["one", "two", "it's three"]
+
+
+def test_an_unclosed_quote_ends_with_its_tag():
+    assert blocks('<p>one</p><p class="a>two</p><p>three</p>') == ["one", "two", "three"]
+    assert blocks("<p>one</p><p class='a>two") == ["one", "two"]
+    # Closed further on, it holds what stands before the closing quote, as in a browser.
+    assert blocks('<p>one</p><p class="a>two</p><p id="b">three</p>') == ["one", "three"]
+
+
+def test_apostrophes_leave_the_article_whole(model):
+    words = " ".join(["several words of the article stand here"] * 8)
+    page = f"<body><nav><a href=/>Home</a></nav><article><h1>A title</h1><p>{words}</p><p><a href=/it's>It's</a> {words}</p>" \
+           f"<p don't>Don't {words}</p></article></body>"
+    assert html_extract.extract(model, [page]) == [f"A title\n\n{words}\n\nIt's {words}\n\nDon't {words}"]
+
+
+def test_attributes_of_unquoted_values():
+    from marquee.llm.html_tree import attributes
+    assert attributes(" class=a'b ID = 'x y' data-z=/it's/ hidden") == {
+        "class": "a'b", "id": "x y", "data-z": "/it's/", "hidden": ""}
+
+
+def test_a_page_without_tags_is_its_text(model):
+    assert html_extract.extract(model, ["Just some  text &amp; more\nof it."]) == ["Just some text & more of it."]
+    assert html_extract.extract(model, ["a < b", " \n "]) == ["a < b", ""]
+
+
+def test_empty_table_and_clashing_columns(spark, model):
+    table = frame(spark, [(1, "<article><p>one</p></article>", "x", 2)], "page_id BIGINT, html STRING, text_ STRING, tag INT")
+    found = table.withColumn("found", html_extract.extract_column(spark, model, F.col("html")))
+    assert found.columns == ["page_id", "html", "text_", "tag", "found"] and found.limit(0).count() == 0
