@@ -137,6 +137,26 @@ class LanguageFilter:
         return [self.languages[b] if x else "und" for b, x in zip(best, lettered)], score
 
 
+def _lowest_hashes(rows: DataFrame, sizes: dict[str, int], n: int) -> DataFrame:
+    """Rows that hold the ``n`` lowest hashes of every language, and few others, however many rows it has.
+
+    A bound that about four times as many rows pass follows from the count of a
+    language; one whose hashes crowd above it (an id in many rows) keeps all its rows.
+    """
+    top, bounds = (1 << 63) - 1, {}
+    for lang, count in sizes.items():
+        bounds[lang] = min(top, -(1 << 63) + (1 << 64) * 4 * n // max(count, 1))
+    for _ in range(2):
+        bound = F.create_map(*[F.lit(x) for pair in bounds.items() for x in pair])
+        few = rows.where(F.col("hashed") <= bound[F.col("lang")])
+        passed = {r["lang"]: r["count"] for r in few.groupBy("lang").count().collect()}  # one row a language
+        short = [lang for lang, count in sizes.items() if passed.get(lang, 0) < min(n, count)]
+        if not short:
+            break
+        bounds |= dict.fromkeys(short, top)
+    return few
+
+
 def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id",
           docs_per_language: int = DOCS_PER_LANGUAGE,
           grams_per_language: int = GRAMS_PER_LANGUAGE) -> LanguageFilter:
@@ -148,8 +168,10 @@ def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_co
     languages = [r["lang"] for r in sorted(sizes, key=lambda r: (-r["count"], r["lang"]))]
     if not languages:
         return LanguageFilter.build([], [])
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id", F.lit("language")), "id")
-    chosen = (rows.select("id", "lang").withColumn("nth", F.row_number().over(order))
+    order = Window.partitionBy("lang").orderBy("hashed", "id")
+    hashed = rows.select("id", "lang", F.xxhash64("id", F.lit("language")).alias("hashed"))
+    chosen = (_lowest_hashes(hashed, {r["lang"]: r["count"] for r in sizes}, docs_per_language)
+              .withColumn("nth", F.row_number().over(order))
               .where(F.col("nth") <= docs_per_language).select(F.col("id").alias("s_id"), F.col("lang").alias("s_lang")))
     sample = at_most(  # an id may stand in many rows
         rows.join(F.broadcast(chosen), (F.col("id") == F.col("s_id")) & (F.col("lang") == F.col("s_lang")),

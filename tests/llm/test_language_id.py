@@ -88,3 +88,16 @@ def test_at_most(spark):
     assert {r.lang: r["count"] for r in got} == {"en": 50, "de": 50}
     assert at_most(rows, 60).count() == 60
     assert at_most(rows, 700, "lang").count() == 1000 and at_most(rows.where("false"), 5).count() == 0
+
+
+def test_the_sample_is_the_lowest_hashes_whatever_the_size(spark):
+    rows = spark.range(5000).selectExpr("id", "if(id % 50 = 0, 'b', 'a') lang").unionByName(
+        spark.range(900).selectExpr("7 id", "'c' lang")).selectExpr("id", "lang", "xxhash64(id, 'language') hashed")
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    for n in (1, 20, 100, 10_000):
+        few = [tuple(r) for r in language_id._lowest_hashes(rows, sizes, n).collect()]
+        for lang, count in sizes.items():
+            every = sorted((r.hashed, r.id) for r in rows.where(F.col("lang") == lang).collect())
+            kept = sorted((h, i) for i, found, h in few if found == lang)
+            assert kept[:n] == every[:n]
+            assert len(kept) <= max(10 * n, 40) or lang == "c"
