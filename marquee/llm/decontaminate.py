@@ -21,7 +21,8 @@ shingle have their whole sequence as the only one, so an item of fewer words is
 found in documents of just these words and never searched in longer ones (the
 rule of ``OP7_SQL``). Null or wordless items are
 in no document; null or wordless documents hold no item. Repeated item or
-document rows are matched row by row.
+document rows are matched row by row. Without items or documents nothing is found;
+columns beside id and text are not read.
 """
 
 from __future__ import annotations

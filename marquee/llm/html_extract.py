@@ -20,7 +20,9 @@ state is known; ``fit`` takes any other ``(html, states)`` pages as well.
 
 Null or empty html gives empty text. White space inside a block becomes one
 space; blocks are joined by an empty line in page order; repeated pages give
-equal texts; nothing is cut, however long.
+equal texts; nothing is cut, however long. A block whose marginal is exactly one
+half is left out. An empty table gives an empty result; only the html column is
+read, so others may have any name.
 """
 
 from __future__ import annotations

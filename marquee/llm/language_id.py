@@ -19,8 +19,9 @@ over whole texts without a shuffle, and uses the text alone.
 
 Null text, or text without a letter, is ``und`` with score 0. A text none of
 whose n-grams is known gets the most frequent learned language with score 0;
-without any learned language everything is ``und``. Equal texts get equal
-results; extra columns are ignored.
+without any learned language everything is ``und``. Repeated rows and equal texts
+get equal results; very long texts are counted in pieces cut at blanks, with the
+same counts; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -21,7 +21,9 @@ within ``_REACH`` characters, and blocks longer than ``_BLOCK`` are cut with an
 overlap of a whole template, so no notice falls on a cut. One map, no shuffle:
 templates are a fixed list.
 
-Null or empty text has no notice. Each repeated row is scanned for itself.
+Null or empty text has no notice. Each repeated row is scanned for itself. Very
+long texts are scanned whole, block by block. An empty table gives an empty
+result, and columns beside id and text are not read.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ rows of one cell.
 
 Null text has size 0; a null source is a source of its own, ordered last.
 Sources without words have target 0. Repeated rows are separate rows, equal ids
-are told apart by size and text. Extra columns travel along untouched, whatever
+are told apart by size and text. Words are counted in whole texts, however long. An
+empty table gives an empty mix. Extra columns travel along untouched, whatever
 their names.
 """
 

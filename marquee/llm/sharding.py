@@ -12,8 +12,9 @@ fold over the turns), a few thousand rows whatever the data, so its broadcast
 size is fixed by ``table_size``. The key is the document id, so a source or a
 group of copies that holds a third of all rows still spreads over all shards.
 
-A null id hashes as the empty string; rows that repeat an id share a shard. An
-existing column named like an added one is replaced.
+A null id hashes as the empty string; rows that repeat an id share a shard. Texts
+are not read, so their length is no matter; an empty table stays empty. An existing
+column named like an added one is replaced.
 """
 
 from __future__ import annotations

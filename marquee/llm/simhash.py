@@ -27,7 +27,9 @@ At scale
 Null or blank text has fingerprint zero and links like any other. Fewer words
 than a shingle: the whole sequence is the one shingle. Rows that repeat a
 document id are treated as separate rows. A null id never becomes a component
-id unless the whole component has null ids. Other columns are ignored.
+id unless the whole component has null ids. Very long texts are hashed whole, in
+pieces that overlap by a shingle. An empty table gives an empty result. Other
+columns are ignored.
 """
 
 from __future__ import annotations

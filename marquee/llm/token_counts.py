@@ -10,8 +10,9 @@ starts over from the broadcast table when it is full. Whole texts are counted;
 the sample only decides what is looked up rather than encoded, never a count.
 
 Null text counts as empty. Special strings inside a text count as the library
-counts them by default (one token each). Rows are independent: repeated ids,
-extra columns and empty tables need no care.
+counts them by default (one token each). Very long texts are split lazily. Rows are
+independent: repeated ids, extra columns and empty tables need no care. A file
+whose normalizer or splitting differs from the byte-level kind is refused.
 """
 
 from __future__ import annotations
@@ -67,6 +68,15 @@ def _specials(tokenizer) -> regex.Pattern | None:
     return regex.compile("|".join(map(regex.escape, plain))) if plain else None
 
 
+def _require_byte_level(tokenizer_json: str) -> None:
+    """``PRE_TOKEN`` splits texts as the library does only for this kind of file."""
+    kind = json.loads(tokenizer_json)
+    pre = kind.get("pre_tokenizer") or {}
+    if (kind.get("normalizer") or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space")
+            or not pre.get("use_regex", True) or kind["model"].get("type", "BPE") != "BPE"):
+        raise ValueError("only byte-level BPE files without normalizer and prefix space are supported")
+
+
 def count_tokens(text: str, lengths: Lengths, pieces: regex.Pattern,
                  specials: regex.Pattern | None) -> int:
     parts = specials.split(text) if specials is not None else [text]
@@ -140,6 +150,7 @@ def token_counts(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", t
     with open(tokenizer_file, encoding="utf-8") as f:
         tokenizer_json = f.read()
     tokenizer = Tokenizer.from_str(tokenizer_json)
+    _require_byte_level(tokenizer_json)
     pieces = frequent_pieces(docs, id_col, text_col, sample_docs, table_size)
     encoded = (tokenizer.encode(p, add_special_tokens=False) for p in pieces)
     table = pack_table({p: len(e.ids) for p, e in zip(pieces, encoded)})

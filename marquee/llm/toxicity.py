@@ -21,7 +21,8 @@ the sample's sparse rows. Scoring is one map over whole texts, with the model
 A label row counts if its id and label are not null; repeated label rows of an
 id count as their largest value. Without labelled rows of both kinds, a
 category's probability is the share seen (0 if none). Null or empty text has
-no features and is never toxic. Repeated documents score alike.
+no features and is never toxic. Repeated documents score alike. An empty table
+gives an empty result; columns beside id and text are not read.
 """
 
 from __future__ import annotations

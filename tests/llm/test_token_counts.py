@@ -54,3 +54,8 @@ def test_the_sample_does_not_take_every_row_of_one_id(spark):
     assert 0 < len(pieces) < 400
     one = docs.selectExpr("7L doc_id", "text")
     assert 0 < len(token_counts.frequent_pieces(one, "doc_id", "text", 100, 100_000)) < 400
+
+
+def test_other_kinds_of_files_are_refused(spark):
+    with pytest.raises(ValueError, match="byte-level"):
+        token_counts.token_counts(frame(spark, [(1, "x")]), public_tokenizers.path("word_bpe_49k.json"))
