@@ -6,7 +6,8 @@ session's shared scratch space and reads it back, so a lost executor costs at
 most the stage at hand.
 
 Rows with nulls, blank or very long texts, repeats or extra columns pass like
-any other; what each stage does with them is in its operator's module.
+any other; what each stage does with them is in its operator's module. An empty
+table passes all stages and stays empty.
 """
 
 from __future__ import annotations
