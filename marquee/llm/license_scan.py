@@ -1,20 +1,21 @@
 """Licence scans by conditional compression.
 
-Text around licence cues is a candidate block. For each template, a block is
-read in windows of twice the template's longest place that step by one place, so
-every place lies whole in a window, however large the block. Every window with
-enough of the template's words is confirmed on the exact words: the smallest
-number of words to insert, delete or replace between the template and its best
-place, which may be at most ``most_differing`` of the template's words, and one in
-a short template. The words that name the licence (``NAMES``) and its version must
-be as they are, with no word between them; numbers match ``#``.
-
-Compression ranks and drops nothing: a window is compressed with the template as
-a zstandard raw dictionary and with a neutral one of the same length (any small
-dictionary changes how zstandard packs). What the template saves, as a share of
-its own compressed size, is how much of the window it explains. Where confirmed
-places overlap, the longer template with fewer differences stands, and of equals
-the first, then the one that saves more.
+Text around licence cues is a candidate block, read in overlapping windows, so
+that every place a template may take lies whole in one of them, however large the
+block. Each window is compressed with each template as a zstandard raw dictionary,
+and with a neutral dictionary of the same length (any small dictionary changes how
+zstandard packs). What the template saves against the neutral one ranks it: a
+template that saves less than ``LEAST_SHARE`` of its own compressed size explains
+nothing of the window and is out; the others are winners, the largest saving first.
+
+Winners are confirmed in that order on the exact words: the smallest number of
+words to insert, delete or replace between the template and its best place, which
+may be at most ``most_differing`` of the template's words, and one in a short
+template. The words that name the licence (``NAMES``) and its version must be as
+they are, with no word between them; numbers match ``#``. Of confirmed places that
+overlap, the one of which its template saves most is taken; of equal savings the
+template with fewer differing words, then the earlier in the list. After a
+tag that names licences by identifier, the identifiers are read as they stand.
 
 Cues are found over whole texts; a block ends where no further cue stands
 within ``_REACH`` characters, and blocks longer than ``_BLOCK`` are cut with an
@@ -37,14 +38,18 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.license_templates import CUES, NAMES, SPELLINGS, TEMPLATES
+from marquee.llm.license_templates import CUES, NAMES, SPELLINGS, TAG, TEMPLATES, VERSIONS
 
 MOST_DIFFERING = 0.1
-_LEVEL = 19
+LEAST_SHARE = 0.1      # of a template's own compressed size; prose saves up to 0.07 of the shortest
+_LEVEL = 9
+_LEAST_SPAN = 16
 _REACH = 250
 _BLOCK = 8000
 _WORD = re.compile(r"[^\W_]+")
 _CUE = re.compile("|".join(map(re.escape, CUES)), re.I)
+#: Identifiers behind a tag, joined by operators.
+_TAGGED = re.compile(r"\s*:[ \t]*(\(*[\w.+-]*[\w+]\)*(?:[ \t]+(?:AND|OR|WITH)[ \t]+\(*[\w.+-]*[\w+]\)*)*)")
 _FOUND = ("array<struct<license:string,template:int,begin:int,end:int,saved_share:double,"
           "n_differing:int,wording:string>>")
 
@@ -72,16 +77,17 @@ class Template:
         self.named = {w for w, f in zip(self.words, self.fixed) if f}
         self.limit = max(1, int(most_differing * len(self.words)))
         self.longest = len(self.words) + self.limit   # words of a place
+        self.span = _LEAST_SPAN                       # windows are two spans long and step by one
+        while self.span < self.longest:
+            self.span *= 2
         plain = " ".join(self.words).encode()
         self.cost = max(1, len(zstandard.ZstdCompressor(level=_LEVEL).compress(plain)) - _empty_size())
-        plain = plain.ljust(8)
-        # Both directions of a template's text help only once; the dictionary is the wording itself.
-        self.compressor = _with_dictionary(plain)
-        # Bytes that no UTF-8 text has.
-        self.neutral = _with_dictionary(bytes(248 + i * i % 7 for i in range(len(plain))))
+        wording = " ".join(" ".join(self.words).replace("#", v) for v in (VERSIONS if "#" in self.words else ("",)))
+        self.dictionary = wording.encode().ljust(8)
+        self.compressor = _with_dictionary(self.dictionary)
 
     def may_hold(self, window: list[str]) -> bool:
-        """Whether a window has enough of the words, wherever they stand."""
+        """Whether a stretch has enough of the words, wherever they stand."""
         held = set(window)
         if any(w.isdigit() for w in held):
             held.add("#")
@@ -90,9 +96,14 @@ class Template:
     def align(self, words: list[str]) -> tuple[int, int, int]:
         return align(self.words, words, self.fixed, self.tight)
 
-    def share(self, window: bytes) -> float:
-        """What the template saves of a window, as a share of its own compressed size."""
-        return (len(self.neutral.compress(window)) - len(self.compressor.compress(window))) / self.cost
+    def saved(self, window: bytes, neutral: int) -> int:
+        """Bytes that the template saves of a window whose size with a neutral dictionary is given."""
+        return neutral - len(self.compressor.compress(window))
+
+
+def _neutral(size: int) -> zstandard.ZstdCompressor:
+    """A dictionary of bytes that no UTF-8 text has."""
+    return _with_dictionary(bytes(248 + i * i % 7 for i in range(size)))
 
 
 def _with_dictionary(data: bytes) -> zstandard.ZstdCompressor:
@@ -148,6 +159,10 @@ class Scanner:
     def __init__(self, templates=TEMPLATES, most_differing: float = MOST_DIFFERING):
         self.templates = [Template(i, name, text, most_differing) for i, (name, text) in enumerate(templates)]
         self.overlap = 12 * max(len(t.words) for t in self.templates)
+        self.by_span: dict[int, list[Template]] = {}
+        for t in self.templates:
+            self.by_span.setdefault(t.span, []).append(t)
+        self.neutral = {len(t.dictionary): _neutral(len(t.dictionary)) for t in self.templates}
 
     def blocks(self, text: str) -> Iterator[tuple[int, int]]:
         """Candidate stretches of a text."""
@@ -170,18 +185,39 @@ class Scanner:
             lo += _BLOCK
         yield lo, hi
 
-    def _confirmed(self, block: str) -> Iterator[tuple[Template, float, int, int, int, str]]:
+    def ranked(self, words: list[str]) -> list[tuple[int, Template, int]]:
+        """``(bytes saved, template, first word of the window)`` of the winners, the best first."""
+        out = []
+        for span, templates in self.by_span.items():
+            for at in range(0, max(1, len(words) - span), span):
+                window = " ".join(words[at:at + 2 * span]).encode()
+                sizes: dict[int, int] = {}
+                for t in templates:
+                    n = len(t.dictionary)
+                    if n not in sizes:
+                        sizes[n] = len(self.neutral[n].compress(window))
+                    saved = t.saved(window, sizes[n])
+                    if saved >= LEAST_SHARE * t.cost:
+                        out.append((saved, t, at))
+        return sorted(out, key=lambda x: (-x[0], x[1].number, x[2]))
+
+    def _confirmed(self, block: str) -> Iterator[tuple[int, Template, int, int, int]]:
+        """``(bytes saved of the place alone, template, differing words, begin, end)`` of the winners' exact places."""
         tokens = _tokens(block)
         words = [t[0] for t in tokens]
-        for template in self.templates:
-            if not template.may_hold(words):
+        for _, template, at in self.ranked(words):
+            # A place that reaches into the window is whole with a template's length on either side.
+            lo, hi = max(0, at - template.longest), at + 2 * template.span + template.longest
+            if not template.may_hold(words[lo:hi]):
                 continue
-            for at in range(0, max(1, len(words) - template.longest), template.longest):
-                window = words[at:at + 2 * template.longest]
-                if not template.may_hold(window):
-                    continue
-                for differing, a, b in self._places(template, tokens[at:at + len(window)]):
-                    yield template, template.share(" ".join(window).encode()), differing, a, b, block[a:b]
+            first, last = tokens[at][1], tokens[min(at + 2 * template.span, len(tokens)) - 1][2]
+            for differing, a, b in self._places(template, tokens[lo:hi]):
+                if a < last and b > first:
+                    place = " ".join(t[0] for t in _tokens(block[a:b])).encode()
+                    yield self._saved(template, place), template, differing, a, b
+
+    def _saved(self, template: Template, window: bytes) -> int:
+        return template.saved(window, len(self.neutral[len(template.dictionary)].compress(window)))
 
     def _places(self, template: Template, tokens: list) -> Iterator[tuple[int, int, int]]:
         """Every place of the template among the words, the best first."""
@@ -196,17 +232,30 @@ class Scanner:
     def scan(self, text: str) -> list[dict]:
         found = []
         for lo, hi in self.blocks(text):
-            for t, share, differing, a, b, wording in self._confirmed(text[lo:hi]):
-                found.append((differing - len(t.words), lo + a, lo + b, t, share, differing, wording))
+            found += [(-saved, differing, t.number, lo + a, lo + b, t)
+                      for saved, t, differing, a, b in self._confirmed(text[lo:hi])]
         out: list[dict] = []
-        for _, a, b, t, share, differing, wording in sorted(found, key=lambda x: (x[0], x[1], -x[4], x[3].number)):
+        for saved, differing, _, a, b, t in sorted(found, key=lambda x: x[:5]):
             if all(b <= o["begin"] or a >= o["end"] for o in out):
-                numbers = "".join(re.findall(r"\d[\d.]*\d|\d", wording)[-1:])
-                out.append({"license": t.license.replace("#", numbers), "template": t.number, "begin": a, "end": b,
-                            "saved_share": float(share), "n_differing": differing, "wording": wording})
+                name, b = _name(t, text, a, b)
+                out.append({"license": name, "template": t.number, "begin": a, "end": b,
+                            "saved_share": -saved / t.cost, "n_differing": differing, "wording": text[a:b]})
         return sorted(out, key=lambda o: o["begin"])
 
 
+def _name(template: Template, text: str, begin: int, end: int) -> tuple[str, int]:
+    """The licence's name with its version, or the identifiers behind a tag, and where the notice ends."""
+    if template.license == TAG:
+        tagged = _TAGGED.match(text, end)
+        if not tagged:
+            return TAG, end
+        name = tagged[1]
+        while name.endswith(")") and name.count(")") > name.count("("):   # of a bracket around the whole tag
+            name = name[:-1]
+        return " ".join(name.split()), tagged.start(1) + len(name)
+    return template.license.replace("#", "".join(re.findall(r"\d[\d.]*\d|\d", text[begin:end])[-1:])), end
+
+
 def scan_column(text: Column) -> Column:
     """Array of the notices found in a text column."""
     @F.pandas_udf(_FOUND)

@@ -27,6 +27,12 @@ def _gnu_header(subject: str, name: str) -> str:
             "or (at your option) any later version.")
 
 
+#: The name of the template behind which licences stand by their identifiers.
+TAG = "SPDX"
+
+#: Versions that stand for ``#`` in a template's dictionary.
+VERSIONS = ("1.0", "1.1", "2.0", "2.1", "3.0", "4.0")
+
 TEMPLATES: list[tuple[str, str]] = [
     ("MIT", _MIT_GRANT),
     ("MIT", "Released under the MIT License."),
@@ -63,6 +69,40 @@ TEMPLATES: list[tuple[str, str]] = [
     ("CC-BY-NC-ND-#", "Creative Commons Attribution-NonCommercial-NoDerivatives # International"),
     ("CC0-#", "Licensed under CC0 #."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("MIT", "The MIT License (MIT)"),
+    ("Apache-#", "Apache License Version #"),
+    ("GPL-#", "GNU GENERAL PUBLIC LICENSE Version #"),
+    ("LGPL-#", "GNU LESSER GENERAL PUBLIC LICENSE Version #"),
+    ("LGPL-#", "GNU LIBRARY GENERAL PUBLIC LICENSE Version #"),
+    ("AGPL-#", "GNU AFFERO GENERAL PUBLIC LICENSE Version #"),
+    ("MPL-#", "Mozilla Public License Version #"),
+    ("EPL-#", "Eclipse Public License - v #"),
+    ("EPL-#", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+              "License v # which accompanies this distribution"),
+    ("EPL-#", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+              "License # which is available at"),
+    ("BSL-#", "Boost Software License - Version #"),
+    ("BSL-#", "Distributed under the Boost Software License, Version #. (See accompanying file"),
+    ("CDDL-#", "Common Development and Distribution License Version #"),
+    ("CDDL", "The contents of this file are subject to the terms of the Common Development and Distribution License "
+             "(the \"License\"). You may not use this file except in compliance with the License."),
+    ("OFL-#", "This Font Software is licensed under the SIL Open Font License, Version #."),
+    ("Artistic-#", "The Artistic License #"),
+    ("CC0-#", "Creative Commons CC0 # Universal"),
+    ("WTFPL", "Do What The Fuck You Want To Public License"),
+    ("WTFPL", "Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and "
+              "changing it is allowed as long as the name is changed."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be "
+             "held liable for any damages arising from the use of this software. Permission is granted to anyone to use "
+             "this software for any purpose, including commercial applications, and to alter it and redistribute it "
+             "freely, subject to the following restrictions:"),
+    ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+             "hereby granted. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO "
+             "THIS SOFTWARE"),
+    ("PostgreSQL", "Permission to use, copy, modify, and distribute this software and its documentation for any purpose, "
+                   "without fee, and without a written agreement is hereby granted, provided that the above copyright "
+                   "notice and this paragraph and the following two paragraphs appear in all copies."),
+    (TAG, "SPDX-License-Identifier"),
 ]
 
 #: Words that name a licence: they stand in a notice as they are, with nothing between them. So does each ``#``.
@@ -72,10 +112,13 @@ NAMES = ("mit license", "apache license", "mozilla public license", "gnu general
          "creative commons attribution #", "creative commons attribution sharealike #",
          "creative commons attribution noncommercial #", "creative commons attribution noderivatives #",
          "creative commons attribution noncommercial sharealike #",
-         "creative commons attribution noncommercial noderivatives #", "unencumbered", "public domain")
+         "creative commons attribution noncommercial noderivatives #", "unencumbered", "public domain",
+         "the mit license mit", "eclipse public license", "boost software license", "open font license",
+         "common development and distribution license", "artistic license #", "cc0 # universal",
+         "do what the fuck you want to public license", "spdx license identifier")
 
 #: Other spellings of words in templates.
 SPELLINGS = {"licence": "license", "licenced": "licensed", "noderivs": "noderivatives"}
 
 #: A block is a candidate where one of these stands (any case).
-CUES = ("licen", "copyright", "permission", "redistribut", "unencumbered", "commons", "advertising", "endorse")
+CUES = ("licen", "copyright", "permission", "redistribut", "unencumbered", "commons", "advertising", "endorse", "warrant")
