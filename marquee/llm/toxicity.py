@@ -3,8 +3,9 @@
 The categories are predicted one after another by linear (logistic) models.
 Each model sees a text's features and the probabilities of all categories
 before it. For training these probabilities are out of fold: a document's are
-predicted by models that were fitted without its fold, so a later model learns
-from inputs as uncertain as those it will meet.
+predicted by models whose features were chosen and whose weights were fitted without
+its fold, so a later model learns from inputs as uncertain as those it will meet.
+Folds are dealt by text, so copies are in one.
 
 Features are presences, not counts, so a long text is no more suspicious than
 a short one: whole words, word beginnings of 3 to 6 letters (a stem with other
@@ -122,6 +123,13 @@ class SparseRows:
     def times(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, w[self.column], self.n)
 
+    def only(self, columns: np.ndarray) -> SparseRows:
+        """The same rows without the entries of other columns."""
+        out = SparseRows([], self.n_columns)
+        kept = columns[self.column]
+        out.n, out.row, out.column = self.n, self.row[kept], self.column[kept]
+        return out
+
     def back(self, r: np.ndarray) -> np.ndarray:
         return np.bincount(self.column, r[self.row], self.n_columns)
 
@@ -175,18 +183,24 @@ class Chain:
         return found
 
 
-def fit_chain(sparse: SparseRows, labels: np.ndarray, fold: np.ndarray, categories, keys) -> Chain:
-    """Models in chain order; each is fitted on the out-of-fold probabilities of those before."""
+def fit_chain(sparse: SparseRows, labels: np.ndarray, fold: np.ndarray, categories, keys,
+              without_fold: list[np.ndarray] | None = None) -> Chain:
+    """Models in chain order; each is fitted on the out-of-fold probabilities of those before.
+
+    ``without_fold``: for each fold, which columns were chosen without it; last, which on all rows.
+    """
     chain, earlier = Chain(tuple(categories), keys), np.zeros((sparse.n, 0))
+    columns = without_fold or [np.ones(sparse.n_columns, bool)] * (FOLDS + 1)
+    views = [sparse.only(c) for c in columns]
     for c in range(labels.shape[1]):
         known = ~np.isnan(labels[:, c])
         y = np.where(known, labels[:, c], 0.0)
-        chain.models.append(fit_linear(sparse, earlier, y, known))
+        chain.models.append(fit_linear(views[-1], earlier, y, known))
         if c + 1 < labels.shape[1]:
             held_out = np.zeros(sparse.n)
             for f in range(FOLDS):
-                part = fit_linear(sparse, earlier, y, known & (fold != f))
-                held_out = np.where(fold == f, part.score(sparse, earlier), held_out)
+                part = fit_linear(views[f], earlier, y, known & (fold != f))
+                held_out = np.where(fold == f, part.score(views[f], earlier), held_out)
             earlier = np.column_stack([earlier, held_out])
     return chain
 
@@ -203,45 +217,54 @@ def _training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
     sample = values.orderBy(order, "label_id").limit(max_train)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return at_most(rows.join(F.broadcast(sample), F.col("id") == F.col("label_id")).select(
-        F.pmod(F.xxhash64("id"), F.lit(FOLDS)).cast("int").alias("fold"), "text",
+        F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold"), "text",
         *[f"y{i}" for i in range(len(categories))]), max_train)
 
 
-def _select_features(train: DataFrame, categories, n_features: int, min_docs: int) -> np.ndarray:
-    """Hashes of the features that speak most for some category, by the z-score of their label sums."""
+def _select_features(train: DataFrame, categories, n_features: int,
+                     min_docs: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Hashes of the features that speak most for some category, by the z-score of their label sums.
+
+    Chosen once without each fold and once on all rows; beside all hashes, which were chosen each time.
+    """
     width = len(categories)
+    names = [f"{x}_{f}" for f in range(FOLDS) for x in ("n", *(f"s{i}" for i in range(width)))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = str_rows(batch.column(0))
-            y = np.nan_to_num(np.column_stack([np.asarray(batch.column(i + 1).to_pandas(), float)
-                                               for i in range(width)]))
+            texts, fold = str_rows(batch.column(0)), batch.column(1).to_numpy(zero_copy_only=False)
+            y = np.nan_to_num(np.column_stack([np.ones(len(texts)), *(
+                np.asarray(batch.column(i + 2).to_pandas(), float) for i in range(width))]))
             for lo, group in groupby(features(texts), key=lambda g: g[0]):
                 owner, hashes = map(np.concatenate, zip(*(_distinct_pairs(o, h) for _, o, h in group)))
                 who, flat = _distinct_pairs(owner, hashes)
                 who = who + lo
                 keys, place = np.unique(flat, return_inverse=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.view(np.int64)), pa.array(np.bincount(place, minlength=len(keys)).astype(float)),
-                     *[pa.array(np.bincount(place, y[who, i], len(keys))) for i in range(width)]],
-                    ["key", "n", *[f"s{i}" for i in range(width)]])
-
-    sums = ", ".join(f"s{i} double" for i in range(width))
-    counted = (train.select("text", *[f"y{i}" for i in range(width)])
-               .mapInArrow(run, f"key long, n double, {sums}")
-               .groupBy("key").agg(F.sum("n").alias("n"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(width)])
-               .where(F.col("n") >= min_docs))
-    total = train.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.avg(f"y{i}"), F.lit(0.0)).alias(f"p{i}")
-                                                    for i in range(width)]).first()
-    keys: set[int] = set()
-    counted = cut_lineage(counted)
-    for i in range(width):
-        p = total[f"p{i}"]
-        if 0 < p < 1:
-            z = (F.col(f"s{i}") - F.col("n") * p) / F.sqrt(F.col("n") * p * (1 - p))
-            keys.update(r.key for r in counted.select("key", z.alias("z")).where(F.col("z") >= LEAST_Z)
-                        .orderBy(F.col("z").desc(), "key").limit(n_features).collect())
-    return np.array(sorted(keys), np.int64).view(np.uint64)
+                    [pa.array(keys.view(np.int64)), *[pa.array(np.bincount(place, y[who, i] * (fold[who] == f), len(keys)))
+                                                      for f in range(FOLDS) for i in range(width + 1)]], ["key", *names])
+
+    counted = cut_lineage(
+        train.select("text", "fold", *[f"y{i}" for i in range(width)])
+        .mapInArrow(run, "key long, " + ", ".join(f"{n} double" for n in names))
+        .groupBy("key").agg(*[F.sum(n).alias(n) for n in names])
+        .where(sum(F.col(f"n_{f}") for f in range(FOLDS)) >= min_docs))
+    totals = train.groupBy("fold").agg(*[x for i in range(width) for x in (
+        F.count(f"y{i}").alias(f"known{i}"), F.coalesce(F.sum(f"y{i}"), F.lit(0.0)).alias(f"sum{i}"))]).collect()
+    chosen: list[set[int]] = []
+    for left_out in [*range(FOLDS), None]:
+        folds, keys = [f for f in range(FOLDS) if f != left_out], set()
+        n = sum(F.col(f"n_{f}") for f in folds)
+        for i in range(width):
+            known = sum(r[f"known{i}"] for r in totals if r.fold in folds)
+            p = sum(r[f"sum{i}"] for r in totals if r.fold in folds) / known if known else 0.0
+            if 0 < p < 1:
+                z = (sum(F.col(f"s{i}_{f}") for f in folds) - n * p) / F.sqrt(n * p * (1 - p))
+                keys.update(r.key for r in counted.where(n >= min_docs).select("key", z.alias("z"))
+                            .where(F.col("z") >= LEAST_Z).orderBy(F.col("z").desc(), "key").limit(n_features).collect())
+        chosen.append(keys)
+    every = np.array(sorted(set().union(*chosen)), np.int64)
+    return every.view(np.uint64), [np.isin(every, np.fromiter(keys, np.int64, len(keys))) for keys in chosen]
 
 
 def _matched(texts: list[str], table: HashTable) -> list[np.ndarray]:
@@ -261,7 +284,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column] | No
     names = tuple(categories)
     marked = labels.select(id_col, *[c.alias(n) for n, c in categories.items()])
     rows = cut_lineage(_training_rows(docs, marked, id_col, text_col, names, max_train))
-    keys = _select_features(rows, names, n_features, min_docs)
+    keys, without_fold = _select_features(rows, names, n_features, min_docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = HashTable(keys)
@@ -275,7 +298,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column] | No
     matrix = rows.mapInArrow(run, "fold int, columns array<int>, " + ", ".join(f"{y} double" for y in ys)).collect()
     sparse = SparseRows([np.array(r["columns"], np.int64) for r in matrix], len(keys))
     y = np.array([[np.nan if r[c] is None else r[c] for c in ys] for r in matrix], float).reshape(-1, len(names))
-    return fit_chain(sparse, y, np.array([r.fold for r in matrix], np.int64), names, keys)
+    return fit_chain(sparse, y, np.array([r.fold for r in matrix], np.int64), names, keys, without_fold)
 
 
 def score_column(chain: Chain, text: Column) -> Column:

@@ -96,3 +96,17 @@ def test_a_repeated_id_leaves_the_sample_bounded(spark):
     same = docs.selectExpr("doc_id", "if(doc_id = 0, 'one text', text) text")
     assert toxicity._training_rows(same, labels, "doc_id", "text", ("toxic",), 310).count() == 310
     assert toxicity._training_rows(docs.where("doc_id > 0"), labels, "doc_id", "text", ("toxic",), 301).count() == 300
+
+
+def test_features_and_folds_know_nothing_of_the_held_out_fold(spark):
+    rows = spark.range(900).selectExpr(
+        "int(id % 3) fold", "concat('plain text ', if(id % 6 = 0, 'onlyzero', if(id % 2 = 0, 'everywhere', 'other'))) text",
+        "double(id % 2 = 0) y0")
+    keys, chosen = toxicity._select_features(rows, ("bad",), 100, 5)
+    place = {w: int(np.flatnonzero(keys == toxicity.Words([w]).hash[0])[0]) for w in ("onlyzero", "everywhere")}
+    assert [bool(c[place["onlyzero"]]) for c in chosen] == [False, True, True, True]
+    assert [bool(c[place["everywhere"]]) for c in chosen] == [True] * 4
+    copies = spark.range(60).selectExpr("id doc_id", "concat('text ', id % 6) text")
+    labels = spark.range(60).selectExpr("id doc_id", "double(id % 2) toxic")
+    dealt = toxicity._training_rows(copies, labels, "doc_id", "text", ("toxic",), 100).select("text", "fold").distinct()
+    assert dealt.count() == 6
