@@ -16,11 +16,12 @@ The sketches are a lookup table that tasks hold while they pass once over the
 documents: no document is shuffled. The table is cut into blocks of a bounded number
 of shingles, whatever the number of items, and each block is one pass.
 
-Words are runs of letters and digits, lower-cased. Shorter texts than a
-shingle have their whole sequence as the only one, so an item of fewer words is
-found in documents of just these words and never searched in longer ones (the
-rule of ``OP7_SQL``). Null or wordless items are
-in no document; null or wordless documents hold no item. Repeated item or
+Words are runs of letters and digits, lower-cased. An item of fewer words than a
+shingle has its whole sequence as its only one, and is found wherever a document
+holds these words one after another: documents are also cut into shingles of
+every such length that items have (at most ``shingle - 1`` more lengths). A
+document of fewer words than an item's shingle does not hold it. Null or wordless items
+are in no document; null or wordless documents hold no item. Repeated item or
 document rows are matched row by row. Without items or documents nothing is found;
 columns beside id and text are not read.
 """
@@ -57,11 +58,13 @@ class ItemTable:
         self.shingle, self.containment = shingle, containment
         self.items: list[dict[int, set]] = []  # per item: shingle hash -> its word sequences
         self.sizes = np.zeros(len(texts), np.int64)
+        self.lengths = np.zeros(len(texts), np.int64)  # words of an item's shingles
         keys, owners = [], []
         for i, text in enumerate(texts):
             found = _sequences(text, shingle)
             self.items.append(found)
             self.sizes[i] = sum(map(len, found.values()))
+            self.lengths[i] = max((len(s) for same in found.values() for s in same), default=0)
             hashes = np.fromiter(found, np.uint64, len(found))
             smallest = hashes[np.argsort(mix64(hashes), kind="stable")][:sketch_size(len(hashes), containment)] \
                 if len(hashes) else hashes
@@ -69,6 +72,7 @@ class ItemTable:
             owners.append(np.full(len(smallest), i))
         every = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
         owner = np.concatenate(owners) if owners else np.zeros(0, np.int64)
+        self.cuts = [int(n) for n in np.unique(self.lengths) if n]
         distinct, inverse = np.unique(every, return_inverse=True)
         self.table = HashTable(distinct)
         self.owners = [owner[inverse == k].tolist() for k in range(len(distinct))] \
@@ -82,61 +86,76 @@ class ItemTable:
                 out[lo] = self._search_long(texts[lo])
                 continue
             words = Words(texts[lo:hi])
-            begin, length, hashes = words.shingles(self.shingle)
-            at, place = self.table.find(hashes)
-            if not len(at):
-                continue
-            owner = words.text[begin]
-            candidates = sorted({(int(owner[a]), i) for a, p in zip(at, place) for i in self.owners[p]})
-            edges = np.searchsorted(owner, np.arange(hi - lo + 1))
-            for t, i in candidates:
-                a, b = int(edges[t]), int(edges[t + 1])
-                if b - a >= self.containment * self.sizes[i] - 1e-9:
-                    met = self._shared(words, i, begin[a:b], length[a:b], hashes[a:b])
-                    out[lo + t] += self._verified(i, met)
+            for cut in self.cuts:
+                self._search_words(words, cut, out[lo:hi])
         return out
 
+    def _search_words(self, words: Words, cut: int, out: list[list]) -> None:
+        """Adds the items with shingles of ``cut`` words to the lists of their texts."""
+        begin, hashes = _full_shingles(words, cut)
+        at, place = self.table.find(hashes)
+        if not len(at):
+            return
+        owner = words.text[begin]
+        candidates = sorted({(int(owner[a]), i) for a, p in zip(at, place) for i in self.owners[p]
+                             if self.lengths[i] == cut})
+        edges = np.searchsorted(owner, np.arange(len(out) + 1))
+        for t, i in candidates:
+            a, b = int(edges[t]), int(edges[t + 1])
+            if b - a >= self.containment * self.sizes[i] - 1e-9:
+                out[t] += self._verified(i, self._shared(words, i, begin[a:b], hashes[a:b]))
+
     def _verified(self, item: int, met: set) -> list[tuple[int, int, int]]:
         enough = len(met) >= self.containment * self.sizes[item] - 1e-9
         return [(item, len(met), int(self.sizes[item]))] if enough else []
 
     def _search_long(self, text: str) -> list[tuple[int, int, int]]:
         """The same for one long text, piece by piece: candidates first, then their shared words."""
-        candidates: set[int] = set()
-        for _, _, _, hashes in self._long_shingles(text):
-            candidates.update(i for p in self.table.find(hashes)[1] for i in self.owners[p])
-        met: dict[int, set] = {i: set() for i in sorted(candidates)}
-        for words, begin, length, hashes in self._long_shingles(text):
-            for i, found in met.items():
-                found |= self._shared(words, i, begin, length, hashes)
-        return [hit for i, found in met.items() for hit in self._verified(i, found)]
-
-    def _long_shingles(self, text: str) -> Iterator[tuple[Words, np.ndarray, np.ndarray, np.ndarray]]:
-        """Shingles by piece; a piece starts again at the last words of the one before."""
-        lowered, lo, limit = text.lower(), 0, _CHARS
-        while True:
-            hi = cut_at_blanks(lowered, limit, lo)
-            words = Words([lowered[lo:hi]])
-            if hi < len(lowered) and len(words.begin) < 2 * self.shingle:
-                limit *= 2  # words of enormous length
-                continue
-            begin, length, hashes = words.shingles(self.shingle)
-            whole = (length == self.shingle) | (lo == 0)
-            yield words, begin[whole], length[whole], hashes[whole]
-            if hi == len(lowered):
-                return
-            lo, limit = lo + int(words.begin[1 - self.shingle]) if self.shingle > 1 else hi, _CHARS
-
-    def _shared(self, words: Words, item: int, begin, length, hashes) -> set:
+        out: list[tuple[int, int, int]] = []
+        for cut in self.cuts:
+            candidates: set[int] = set()
+            for _, _, hashes in _long_shingles(text, cut):
+                candidates.update(i for p in self.table.find(hashes)[1] for i in self.owners[p]
+                                  if self.lengths[i] == cut)
+            met: dict[int, set] = {i: set() for i in sorted(candidates)}
+            for words, begin, hashes in _long_shingles(text, cut) if met else ():
+                for i, found in met.items():
+                    found |= self._shared(words, i, begin, hashes)
+            out += [hit for i, found in met.items() for hit in self._verified(i, found)]
+        return out
+
+    def _shared(self, words: Words, item: int, begin, hashes) -> set:
         """Distinct word sequences of the item that stand in the document."""
-        known, met = self.items[item], set()
+        known, met, cut = self.items[item], set(), int(self.lengths[item])
         for k in np.flatnonzero(np.isin(hashes, np.fromiter(known, np.uint64, len(known)))):
-            sequence = tuple(words.word(int(begin[k]) + j) for j in range(int(length[k])))
+            sequence = tuple(words.word(int(begin[k]) + j) for j in range(cut))
             if sequence in known[int(hashes[k])]:
                 met.add(sequence)
         return met
 
 
+def _full_shingles(words: Words, cut: int) -> tuple[np.ndarray, np.ndarray]:
+    """First words and hashes of the shingles that have ``cut`` words, none fewer."""
+    begin, length, hashes = words.shingles(cut)
+    full = length == cut
+    return begin[full], hashes[full]
+
+
+def _long_shingles(text: str, cut: int) -> Iterator[tuple[Words, np.ndarray, np.ndarray]]:
+    """Shingles by piece; a piece starts again at the last words of the one before."""
+    lowered, lo, limit = text.lower(), 0, _CHARS
+    while True:
+        hi = cut_at_blanks(lowered, limit, lo)
+        words = Words([lowered[lo:hi]])
+        if hi < len(lowered) and len(words.begin) < 2 * cut:
+            limit *= 2  # words of enormous length
+            continue
+        yield words, *_full_shingles(words, cut)
+        if hi == len(lowered):
+            return
+        lo, limit = lo + int(words.begin[1 - cut]) if cut > 1 else hi, _CHARS
+
+
 def _grouped(owner: np.ndarray, inverse: np.ndarray, n: int) -> list[list[int]]:
     order = np.argsort(inverse, kind="stable")
     edges = np.searchsorted(inverse[order], np.arange(n + 1))

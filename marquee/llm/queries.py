@@ -170,16 +170,20 @@ WITH docs AS (
 SELECT doc_id, size, source_size, target, copies, copies * size AS taken FROM taken
 """
 
-def _shingles(table: str, key: str) -> str:
-    k = decontaminate.SHINGLE
-    return f"""SELECT DISTINCT {key}, row, unnest(list_transform(range(1, greatest(len(w) - {k - 2}, 2)),
-      lambda i: array_to_string(w[i:i + {k - 1}], ' '))) AS shingle
-    FROM (SELECT {key}, row_number() OVER () AS row,
-                 regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM {table}) WHERE len(w) > 0"""
 
+def _words(table: str, key: str) -> str:
+    return f"""SELECT {key}, row_number() OVER () AS row,
+      regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM {table}"""
+
+
+_SHINGLES = "unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' ')))"
 
 OP7_SQL = f"""
-WITH doc AS ({_shingles("documents", "doc_id")}), item AS ({_shingles("benchmark", "item_id")}),
+WITH doc_words AS ({_words("documents", "doc_id")}), item_words AS ({_words("benchmark", "item_id")}),
+cut AS (SELECT *, least(len(w), {decontaminate.SHINGLE}) AS k FROM item_words WHERE len(w) > 0),
+item AS (SELECT DISTINCT item_id, row, {_SHINGLES} AS shingle FROM cut),
+doc AS (SELECT DISTINCT doc_id, row, {_SHINGLES} AS shingle
+        FROM doc_words JOIN (SELECT DISTINCT k FROM cut) ON len(w) >= k),
 sizes AS (SELECT item_id, row, count(*)::INTEGER AS n_shingles FROM item GROUP BY ALL),
 shared AS (SELECT doc.doc_id, doc.row AS doc_row, item.item_id, item.row, count(*)::INTEGER AS n_shared
            FROM doc JOIN item USING (shingle) GROUP BY ALL)

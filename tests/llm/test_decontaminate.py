@@ -19,18 +19,22 @@ def plain_words(text):
     return out
 
 
-def plain_shingles(text, k=5):
-    w = plain_words(text)
-    return {tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
+def plain_shingles(words, k):
+    return {tuple(words[i:i + k]) for i in range(len(words) - k + 1)}
 
 
-def plain_hits(docs, items, share=0.8):
-    out = []
+def plain_hits(docs, items, share=0.8, k=5):
+    """Items of fewer than ``k`` words: their own whole sequence, anywhere in the document."""
+    out, docs = [], [(d, plain_words(body)) for d, body in docs]
     for i, text in items:
-        want = plain_shingles(text)
+        words = plain_words(text)
+        if not words:
+            continue
+        cut = min(k, len(words))
+        want = plain_shingles(words, cut)
         for d, body in docs:
-            n = len(want & plain_shingles(body))
-            if want and n >= share * len(want) - 1e-9:
+            n = len(want & plain_shingles(body, cut))
+            if n >= share * len(want) - 1e-9:
                 out.append((d, i, n, len(want)))
     return sorted(out, key=str)
 
@@ -81,6 +85,41 @@ def test_awkward_rows_on_both_sides(spark):
     assert decontaminate.without_items(empty(spark), items, item_id_col="doc_id").count() == 0
 
 
+def test_short_items_inside_long_documents(spark):
+    items = [(1, "Quartz"), (2, "blue heron"), (3, "the blue heron"), (4, "the blue heron, flies"),
+             (5, "the blue heron flies south"), (6, "heron blue"), (7, "--"), (8, None), (8, "blue heron")]
+    filler = "grey words of no use " * 3
+    long = "many other words here " * 70_000  # over the size that is searched in pieces
+    docs = [(1, f"{filler} a Quartz! {filler}"), (2, f"{filler} the blue, HERON flies {filler}"),
+            (3, "blue heron"), (4, "heron"), (5, "quartz"), (6, "blue x heron the blue"),
+            (7, f"{long}the blue heron {long}"), (8, long), (9, None), (10, "The blue heron flies south. Quartz"),
+            (11, long[:(1 << 20) - 5] + " blue heron " + long)]
+    got = decontaminate.contained_items(frame(spark, docs), frame(spark, items, "item_id BIGINT, text STRING"))
+    want = plain_hits(docs, items)
+    assert found(got) == want and {(d, i) for d, i, _, _ in want} >= {
+        (1, 1), (2, 2), (2, 3), (2, 4), (3, 2), (5, 1), (7, 3), (10, 5), (11, 8)}
+    kept = decontaminate.without_items(frame(spark, docs), frame(spark, items[:1], "item_id BIGINT, text STRING"))
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 6, 7, 8, 9, 11]
+
+
+def test_sql_searches_short_items_too(spark):
+    import duckdb
+    import pandas as pd
+    from marquee.llm.queries import OP7_SQL
+
+    items = [(1, "Quartz"), (2, "blue heron"), (3, "the blue heron flies"), (4, "the blue heron flies far south"),
+             (5, ""), (2, "blue heron")]
+    docs = [(1, "some quartz lies here in the sand"), (2, "Look, the blue heron flies far south again"),
+            (3, "blue heron"), (4, "heron"), (5, None), (2, "the blue heron")]
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(docs, columns=["doc_id", "text"]))
+    con.register("benchmark", pd.DataFrame(items, columns=["item_id", "text"]))
+    want = plain_hits(docs, items)
+    assert sorted(((r[0], r[1], r[2], r[3]) for r in con.sql(OP7_SQL).fetchall()), key=str) == want and len(want) == 9
+    got = decontaminate.contained_items(frame(spark, docs), frame(spark, items, "item_id BIGINT, text STRING"))
+    assert found(got) == want
+
+
 def test_sketch_meets_every_containing_document():
     for n in range(1, 200):
         missing = n - -(-4 * n // 5)  # most shingles that a containing document may lack
