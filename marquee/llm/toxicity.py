@@ -209,14 +209,18 @@ def _training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
                    max_train: int) -> DataFrame:
     """``(fold, text, <category>...)`` of the bounded sample, one row a labelled document.
 
-    At most ``max_train`` rows, however often an id stands in ``docs``.
+    At most ``max_train`` rows, however often an id stands in ``docs``. Ids of
+    unlike types are compared as text.
     """
     values = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("label_id")).agg(
         *[F.max(F.col(c).cast("double")).alias(f"y{i}") for i, c in enumerate(categories)])
     order = F.xxhash64(F.col("label_id"), F.lit("toxicity"))
     sample = values.orderBy(order, "label_id").limit(max_train)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return at_most(rows.join(F.broadcast(sample), F.col("id") == F.col("label_id")).select(
+    given, labelled = F.col("id"), F.col("label_id")
+    if rows.schema["id"].dataType != sample.schema["label_id"].dataType:
+        given, labelled = given.cast("string"), labelled.cast("string")
+    return at_most(rows.join(F.broadcast(sample), given == labelled).select(
         F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold"), "text",
         *[f"y{i}" for i in range(len(categories))]), max_train)
 

@@ -65,3 +65,14 @@ def test_stage_takes_awkward_and_empty_tables(spark, name):
             [("1", "The"), ("3", ""), ("None", "Ein"), ("6", LONG[:3]), ("7", "123"), ("8", "one"), ("9", "naï")])
     assert STAGES[name](spark, empty(spark), SMALL_SF).count() == 0
     assert STAGES[name](spark, empty(spark), SMALL_SF).columns[:5] == [c.split()[0] for c in BASE.split(", ")]
+
+
+def test_ids_may_be_text(spark, docs):
+    named = docs.withColumn("doc_id", F.concat(F.lit("d-"), F.col("doc_id"))).unionByName(
+        docs.limit(3).withColumn("doc_id", F.lit(None).cast("string"))).cache()
+    plain = {"d-" + str(i) for i in ids(STAGES["simhash_dedup"](spark, docs, SMALL_SF))}
+    kept = ids(STAGES["simhash_dedup"](spark, named, SMALL_SF))
+    assert len(kept) == len(plain) and len(set(kept)) == len(kept)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, named, SMALL_SF)
+        assert out.schema["doc_id"].dataType.typeName() == "string" and out.count() > 0, name
