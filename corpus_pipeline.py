@@ -6,7 +6,8 @@ session's shared scratch space and reads it back, so a lost executor costs at
 most the stage at hand.
 
 Rows with nulls, blank or very long texts, repeats or extra columns pass like
-any other; what each stage does with them is in its operator's module. An empty
+any other, and ids may be of any type that has an order (one that does not read as
+a label's id has no label); what each stage does with them is in its operator's module. An empty
 table passes all stages and stays empty.
 """
 
@@ -37,7 +38,7 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     names = [unused(docs, n) for n in ("kept_id", "kept_null", "kept_key")]
 
     def keys(doc_id: Column, text_key: Column) -> dict[str, Column]:
-        return dict(zip(names, (F.coalesce(doc_id, F.lit(0)), doc_id.isNull(), text_key)))
+        return dict(zip(names, (F.coalesce(doc_id.cast("string"), F.lit("")), doc_id.isNull(), text_key)))
 
     rows = simhash.simhash_groups(docs, shingle=4, max_bits=4, seed=42)
     first = (rows.groupBy("component").agg(F.min(F.struct(F.col("id").isNull(), "id", "text_key")).alias("first"))
