@@ -87,7 +87,9 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     """``(row, size, source_size, target, copies)``; ``row`` is the input row as a struct.
 
     ``keep`` names the columns of ``row`` (all by default): what is not kept is
-    not shuffled. The counts of the cells are computed once and checkpointed.
+    not shuffled, and without the text among it the narrow rows are checkpointed, so
+    that texts are read and their words counted once. The counts of the cells are
+    computed once and checkpointed.
     """
     text = F.col(text_col).cast("string")
     size = word_count(text)
@@ -97,6 +99,8 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
                        hashed.alias("hash"), F.xxhash64(text).alias("tie"))
     rows = (rows.withColumn("bin", _size_bin(F.col("size")))
             .withColumn("cell", F.shiftright("hash", 60 - _CELL_BITS)))
+    if text_col not in (keep or docs.columns):
+        rows = cut_lineage(rows)
     cells = cut_lineage(rows.groupBy("source", "bin", "cell").agg(F.count(F.lit(1)).alias("n"),
                                                                   F.sum("size").alias("words")))
     bins = cells.groupBy("source", "bin").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
@@ -120,9 +124,10 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
                       F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size"))
                       .otherwise(F.lit(0.0)).alias("expected"), offset.alias("offset")))
     own = Window.partitionBy("source", "bin", "cell").orderBy("hash", "size", "tie")
+    # null-safe on every key: a plain equality adds "is not null" filters that count the words again
     joined = (rows.withColumn("nth", F.row_number().over(own))
               .join(starts, F.col("source").eqNullSafe(F.col("c_source"))
-                    & (F.col("bin") == F.col("c_bin")) & (F.col("cell") == F.col("c_cell"))))
+                    & F.col("bin").eqNullSafe(F.col("c_bin")) & F.col("cell").eqNullSafe(F.col("c_cell"))))
     place = F.col("start") + F.col("nth")
     crossed = (F.floor(place * F.col("expected") + F.col("offset"))
                - F.floor((place - 1) * F.col("expected") + F.col("offset")))
