@@ -61,8 +61,21 @@ CUES = {
                "bio popular trending latest teaser",
     "hidden": "hidden hide none sr visually screen",
 }
+# The same in German, French and Spanish, as they stand in ASCII class names.
+CUES_ELSEWHERE = {
+    "content": "inhalt hauptinhalt beitrag artikel contenu contenido articulo",
+    "navigation": "menue hauptmenue navigationsleiste navegacion",
+    "header": "kopf kopfzeile kopfbereich entete cabecera encabezado",
+    "footer": "fuss fusszeile fussbereich impressum pied",
+    "sidebar": "seitenleiste randspalte laterale lateral",
+    "advert": "werbung anzeige anzeigen publicite publicidad anuncio anuncios",
+    "notice": "hinweis hinweise meldung avis avertissement aviso avisos",
+    "comment": "kommentar kommentare leserkommentare leserbriefe commentaire commentaires comentario comentarios",
+    "form": "suche anmeldung formular recherche formulaire connexion buscar formulario",
+    "related": "weitere empfehlungen teilen partager compartir relacionado relacionados",
+}
 _CUE_OF: dict[str, list[str]] = {}
-for _kind, _words in CUES.items():
+for _kind, _words in [*CUES.items(), *CUES_ELSEWHERE.items()]:
     for _word in _words.split():
         _CUE_OF.setdefault(_word, []).append(_kind)
 _SPLIT = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")

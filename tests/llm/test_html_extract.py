@@ -160,3 +160,25 @@ def test_empty_table_and_clashing_columns(spark, model):
     table = frame(spark, [(1, "<article><p>one</p></article>", "x", 2)], "page_id BIGINT, html STRING, text_ STRING, tag INT")
     found = table.withColumn("found", html_extract.extract_column(spark, model, F.col("html")))
     assert found.columns == ["page_id", "html", "text_", "tag", "found"] and found.limit(0).count() == 0
+
+
+#: Class names of a page in other languages: head, content, side column, comments, one comment, advert, foot.
+LAYOUTS = {
+    "german": "kopfzeile inhalt seitenleiste leserkommentare kommentar werbung fusszeile",
+    "french": "entete contenu laterale commentaires commentaire publicite pied-page",
+    "spanish": "cabecera contenido lateral comentarios comentario publicidad pied",
+}
+
+
+@pytest.mark.parametrize("language", list(LAYOUTS))
+def test_layouts_named_in_other_languages(model, language):
+    head, content, side, comments, comment, advert, foot = LAYOUTS[language].split()
+    paragraph = "The river rises in the hills and flows through three valleys before it meets the sea, as old maps show."
+    page = (f'<body><div class="{head}"><ul><li><a href=/>Start</a><li><a href=/k>Contact</a></ul></div>'
+            f'<div class="{content}"><h1>The river</h1><p>{paragraph}</p><p>{paragraph}</p>'
+            f'<div class="{advert}"><p>Buy the new boat, now for less than ever before!</p></div><p>{paragraph}</p></div>'
+            f'<div class="{side}"><h3>More</h3><ul><li><a href=/1>The river in winter</a><li><a href=/2>Bridges</a></ul></div>'
+            f'<div class="{comments}"><h3>Readers</h3><div class="{comment}"><b>Hans</b><p>That was a fine text, many thanks '
+            f'for writing it down.</p></div><div class="{comment}"><b>Eva</b><p>I do not agree with that.</p></div></div>'
+            f'<div class="{foot}">2024 Publisher</div></body>')
+    assert html_extract.extract(model, [page]) == ["\n\n".join(["The river", *[paragraph] * 3])]
